@@ -127,12 +127,10 @@ def pack(items: DataFrame, capacity: int = CAPACITY, step: int = STEP) -> DataFr
         offsets.append((s, salt, histogram[s]))
         histogram[s] += n
     runs = plan(dict(histogram), capacity)
-    weight: dict[int, int] = defaultdict(int)
     base = F.broadcast(spark.createDataFrame(offsets, "size long, salt long, base long"))
     ranked = salted.join(base, ["size", "salt"])
     nth = F.row_number().over(Window.partitionBy("size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "part_no"))
     ranked = ranked.withColumn("rank", nth - 1 + F.col("base")).drop("base", "salt")
-    del weight
     table = F.broadcast(spark.createDataFrame([(s, r, r + n, c, k) for s, r, n, c, _, k in runs], "size long, low long, high long, first long, slot int"))
     held = (ranked["size"] == table["size"]) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     placed = ranked.join(table, held).select((F.col("first") + F.col("rank") - F.col("low")).alias("container"), "slot", "doc_id", "part_no", ranked["size"].alias("n_tokens"))

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -67,7 +68,7 @@ ADDRESS = regex.compile(
 _CAP = regex.compile(r"(?<![\p{L}\d])\p{Lu}[\p{L}]*(?:['’]\p{Lu}?[\p{L}]+)*(?![\p{L}\d])")
 _PARTICLE = regex.compile(r"(?<![\p{L}\d])(?:De|Di|Del|Della|Dal|Dalla|Lo|DE|DI|DEL|DELLA|DAL)\s{1,3}$")
 _TITLE = regex.compile(
-    r"(?<!\p{L})(?:sig(?:\.ra|\.na|nor|nora)?|dott(?:\.ssa|or|oressa)?|avv(?:ocato|ocata)?|ing|prof(?:\.ssa|essor|essoressa)?|geom|rag|arch|notaio|dr(?:\.ssa)?)\.?\s{1,3}$", regex.IGNORECASE
+    r"(?<!\p{L})(?:sig(?:\.ra|\.na|nor|nora)?|dott(?:\.ssa|or|oressa)?|avv(?:ocato|ocata)?|ing|prof(?:\.ssa|essor|essoressa)?|geom|rag|arch|dr(?:\.ssa)?)\.?\s{1,3}$", regex.IGNORECASE
 )
 _INITIAL = regex.compile(r"(?<![\p{L}\d./'’-])(?:\p{Lu}\.\s{0,3}){1,2}(?:(?:De|Di|Del|Della|Dal|DE|DI|DEL)\s{1,3})?(\p{Lu}[\p{L}]*(?:['’]\p{Lu}?[\p{L}]+)*)(?![\p{L}\d])")
 _AFTER_INITIAL = regex.compile(r"\s{1,3}\p{Lu}\.(?!\p{L})(?=\s*[,;)]|\s+\p{Ll}|\s*$)")
@@ -203,9 +204,7 @@ def feistel(value: int, size: int, key: bytes, tweak: bytes, rounds: int = 10, b
     """Keyed permutation of 0 .. size - 1 (and its inverse): unbalanced Feistel network with cycle walking."""
     if size < 2:
         return value
-    a = 1
-    while a * a < size:
-        a += 1
+    a = math.isqrt(size - 1) + 1
     while True:
         left, right = divmod(value, a)
         for r in reversed(range(rounds)) if back else range(rounds):
