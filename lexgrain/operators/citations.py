@@ -6,6 +6,8 @@ matches and the matches themselves have cumulative lengths that are the offsets.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +49,19 @@ def _reference(kind: int, start: Column, match: Column, around: Column, doc: Col
     return F.struct(F.lit(kind), start.cast("int"), match, around, doc, *(parts or [nothing] * 4), confidence.cast("double"), F.lit(method)).cast(REFERENCE)
 
 
+def _act_at(c: Column, k: int, kind: str) -> Callable[[Column], Column]:
+    """The reference made of a match of form k of an act citation."""
+
+    def made(m: Column) -> Column:
+        low = F.greatest(F.lit(0), m["start"] - NEAR)
+        window = F.substring(c, low + 1, m["start"] + F.length(m["match"]) + NEAR - low)
+        sure = F.when(window.rlike(urn.ARTICLE), 0.9).otherwise(0.6)
+        doc = F.concat_ws(":", F.lit(kind), m["groups"][0], m["groups"][1])
+        return _reference(k, m["start"], m["match"], text.snippet(c, m["start"]), doc, sure, "regex:v1")
+
+    return made
+
+
 def found_references(c: Column) -> Column:
     """ARRAY of references in a text: aliases, then acts by form and place, then articles by place."""
     out = []
@@ -55,15 +70,7 @@ def found_references(c: Column) -> Column:
         one = F.array(_reference(k, at, F.lit(alias), text.snippet(c, at), F.lit(target), F.lit(0.6), "alias:v1"))
         out.append(F.when(at >= 0, one).otherwise(F.array().cast(f"array<{REFERENCE}>")))
     for k, (kind, form) in enumerate(ACTS, len(urn.ALIASES)):
-
-        def act(m: Column, k: int = k, kind: str = kind) -> Column:
-            low = F.greatest(F.lit(0), m["start"] - NEAR)
-            window = F.substring(c, low + 1, m["start"] + F.length(m["match"]) + NEAR - low)
-            sure = F.when(window.rlike(urn.ARTICLE), 0.9).otherwise(0.6)
-            doc = F.concat_ws(":", F.lit(kind), m["groups"][0], m["groups"][1])
-            return _reference(k, m["start"], m["match"], text.snippet(c, m["start"]), doc, sure, "regex:v1")
-
-        out.append(F.transform(places(c, form, 2), act))
+        out.append(F.transform(places(c, form, 2), _act_at(c, k, kind)))
     articles = places(c, urn.ARTICLE, 4)
     last = len(urn.ALIASES) + len(ACTS)
     out.append(

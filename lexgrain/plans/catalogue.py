@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexgrain.plans import data_queries
+from lexgrain.plans import data_queries, reference_queries
 
-_MODULES = (data_queries,)
+_MODULES = (data_queries, reference_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return queries()["p3_found"](spark, d)
+    return queries()["r06_targets"](spark, d)
