@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexgrain.plans.scale import cut_lineage, spread
+
 CAPACITY, STEP = 2048, 8
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
@@ -69,7 +71,7 @@ def sizes(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_tokens": [token_count(t, vocabulary) for t in b["text"]]})
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.where(F.length("text") > 0).select("doc_id", "text").mapInPandas(work, f"doc_id {kind}, n_tokens long")
+    return spread(documents.where(F.length("text") > 0).select("doc_id", "text"), "doc_id").mapInPandas(work, f"doc_id {kind}, n_tokens long")
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -116,6 +118,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, step: int = STEP) -> DataFr
     part_no numbers the parts of a text larger than the capacity; step_no groups `step` containers.
     """
     parts = F.greatest(F.lit(1), F.ceil(F.col("n_tokens") / capacity)).cast("int")
+    items = cut_lineage(items.select("doc_id", "n_tokens"))  # the counts are needed for the histogram and the result
     cut = items.where("n_tokens > 0").select("doc_id", "n_tokens", F.explode(F.sequence(F.lit(1), parts)).alias("part_no"))
     size = F.least(F.lit(capacity), F.col("n_tokens") - (F.col("part_no") - 1) * capacity).cast("long")
     salted = cut.select("doc_id", (F.col("part_no") - 1).alias("part_no"), size.alias("size"), F.pmod(F.xxhash64("doc_id", "part_no"), F.lit(SALTS)).alias("salt"))

@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexgrain.plans.scale import spread
+
 KINDS = ("email", "phone", "id_number", "address", "name")
 
 # Common Italian given names.
@@ -49,15 +51,21 @@ NO_NAME = frozenset(
 ORGANISATIONS = frozenset("azienda banca cantina comune consorzio cooperativa corte ditta fondazione impresa istituto liceo ospedale scuola società studio tenuta tribunale università".split())
 
 _S = r"[^\S\r\n]*[\r\n]?[^\S\r\n]*"  # blanks with at most one line break
-_AT = rf"{_S}(?:@|[(\[]{_S}(?:at|chiocciola|@){_S}[)\]]|(?<=\s)(?:chiocciola|at)(?=\s)){_S}"
+_AT = rf"(?:@|[(\[]{_S}(?:at|chiocciola|@){_S}[)\]]|(?<=\s)(?:chiocciola|at)(?=\s))"
 _DOT = rf"(?:\.|{_S}[(\[]{_S}(?:punto|dot|\.){_S}[)\]]{_S}|\s{{1,3}}(?:punto|dot)\s{{1,3}})"
-EMAIL = re.compile(rf"(?<![\w/.+%-])[A-Za-z0-9](?:[\w.+%-]*[\w+%-])?{_AT}[A-Za-z0-9][A-Za-z0-9-]*(?:{_DOT}[A-Za-z0-9][A-Za-z0-9-]*)+", re.IGNORECASE)
+EMAIL_AT = re.compile(_AT, re.IGNORECASE)
+EMAIL_LOCAL = re.compile(r"(?<![\w/.+%-])[A-Za-z0-9](?:[\w.+%-]*[\w+%-])?$")
+EMAIL_DOMAIN = re.compile(rf"[A-Za-z0-9][A-Za-z0-9-]*(?:{_DOT}[A-Za-z0-9][A-Za-z0-9-]*)+", re.IGNORECASE)
+BLANKS, BLANKS_END = re.compile(_S), re.compile(_S + "$")
+#: Longest local part of an address.
+LOCAL_CHARS = 320
 PHONE = re.compile(
     r"(?<![\w/.,:+-])(?<!\w[ .-])?(?:(?:\+|00)39[\s.\-]{0,2})?(?:\(0\d{1,3}\)|0\d{1,3}|\(3\d{2}\)|3\d{2})[\s./\-]{0,2}\d{2,8}(?:[\s.\-]{1,2}\d{2,4}){0,3}(?![\w/]|[.,-]\d)"
 )
 TAX_CODE = re.compile(r"(?<!\w)[A-Z]{3}\s{0,2}[A-Z]{3}\s{0,2}[0-9LMNP-V]{2}[A-EHLMPRST][0-9LMNP-V]{2}\s{0,2}[A-Z][0-9LMNP-V]{3}[A-Z](?!\w)", re.IGNORECASE)
 CARD = re.compile(r"(?<!\w)(?:[A-Z]{2}\d{5}[A-Z]{2}|[a-z]{2}\d{5}[a-z]{2}|[A-Z]{2}\s?\d{7}|[a-z]{2}\d{7})(?!\w)")
 _KIND = r"(?:via|viale|v\.le|vicolo|vico|piazza|piazzale|piazzetta|p\.?zza|p\.za|p\.le|corso|c\.so|largo|l\.go|salita|contrada|c\.da|strada(?:\s+(?:vicinale|provinciale|statale|comunale))?|lungolago|lungomare|lungarno|lungotevere|borgo|borgata|calle|galleria|località|loc\.|rione|traversa)"
+STREET_KIND = re.compile(rf"(?<![\w'’]){_KIND}(?=\s)", re.IGNORECASE)
 _WORD = r"(?:(?:[dD]ell|[aA]ll|[dD]all|[sS]ant|[dD]|[lL]|DELL|ALL|SANT)['’]\s?)?(?:\p{Lu}[\p{L}'’.]*|\d{1,2}(?=\s+\p{Lu}))"
 _LINK = r"(?:d[ieao]l?|dei|degli|delle|della|dello|al|alla|alle|ai|agli|allo|in|san|santa|e(?=\s+\p{Lu}\p{Ll})|DI|DEL|DEI|DEGLI|DELLE|DELLA|DELLO|AL|ALLA|ALLE|AI)"
 _STREET = rf"(?<![\w'’])(?i:{_KIND})\s+(?:{_LINK}\s+)*{_WORD}(?:\s+(?:{_LINK}\s+)*{_WORD})*?"
@@ -157,6 +165,18 @@ def _initials(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of addresses, sought around each sign or word for @."""
+    done = 0
+    for at in EMAIL_AT.finditer(text):
+        before = BLANKS_END.search(text, max(done, at.start() - 8), at.start()).start()
+        local = EMAIL_LOCAL.search(text, max(done, before - LOCAL_CHARS), before)
+        domain = EMAIL_DOMAIN.match(text, BLANKS.match(text, at.end()).end()) if local else None
+        if domain:
+            done = domain.end()
+            yield local.start(), done
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
@@ -175,14 +195,16 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     if not text:
         return []
     found: list[tuple[int, int, str]] = []
-    if "@" in text or regex.search(r"(?i)\b(?:at|chiocciola)\b", text):
-        found += [(*m.span(), "email") for m in EMAIL.finditer(text)]
+    found += [(a, b, "email") for a, b in _emails(text)]
+    blocked = [(a, b) for a, b, _ in found]
     found += [(*m.span(), "phone") for m in PHONE.finditer(text) if _phone(text, m)]
     found += [(*m.span(), "id_number") for m in TAX_CODE.finditer(text)]
     found += [(*m.span(), "id_number") for m in CARD.finditer(text)]
-    addresses = [m.span() for m in ADDRESS.finditer(text)]
-    found += [(a, b, "address") for a, b in addresses]
-    blocked = [(a, b) for a, b, k in found if k in ("email", "address")] + [m.span() for m in STREET.finditer(text)]
+    for at in STREET_KIND.finditer(text):
+        if m := ADDRESS.match(text, at.start()):
+            found.append((*m.span(), "address"))
+        if street := m or STREET.match(text, at.start()):
+            blocked.append(street.span())
     blocked.sort()
     merged: list[tuple[int, int]] = []
     for a, b in blocked:
@@ -264,7 +286,7 @@ def find(documents: DataFrame) -> DataFrame:
             rows = {(d, k, t[a:b]) for d, t in zip(batch["doc_id"], batch["text"], strict=True) for a, b, k in scan(t)}
             yield pd.DataFrame(list(rows), columns=["doc_id", "pii_kind", "found_text"])
 
-    picked = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
+    picked = spread(documents.where(F.col("text").isNotNull()).select("doc_id", "text"), "doc_id")
     return picked.mapInPandas(work, f"doc_id {kind}, pii_kind string, found_text string").distinct()
 
 
