@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexgrain.functions import ids, text, urn
+from lexgrain.plans.scale import spread
 
 # Kinds of act and the forms of their citation (number, year), in order of output.
 ACTS = [
@@ -85,6 +86,7 @@ def found_references(c: Column) -> Column:
 def extract(nodes: DataFrame, text_col: str = "text_content", key: str = "node_id") -> DataFrame:
     """key, ordinal and the columns of each reference found in a text, with the relation type of the whole text."""
     c = F.coalesce(F.col(text_col), F.lit(""))
+    nodes = spread(nodes.select(*dict.fromkeys([key, *(["doc_id"] if "doc_id" in nodes.columns else []), text_col])), key, text_col)
     found = nodes.select(*dict.fromkeys([key, "doc_id"] if "doc_id" in nodes.columns else [key]), F.posexplode(found_references(c)).alias("ordinal", "r"), urn.relation(c).alias("relation_type"))
     keys = [k for k in (key, "doc_id") if k in found.columns]
     fields = [f for f in ("start", "match_text", "raw_snippet", "target_canonical_doc", "target_article", "target_comma", "target_letter", "target_number", "confidence", "method")]

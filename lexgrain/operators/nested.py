@@ -15,10 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexgrain.operators.structure import index_elements, span_hashes
+from lexgrain.plans.scale import spread
 
 #: Fragments are indexed in buffers of about this many bytes, which bounds a worker's memory.
 BUFFER_BYTES = 2_000_000
@@ -132,8 +134,6 @@ def _link(ids: pa.Array, arrays: pa.Array) -> pa.RecordBatch:
     owner = np.repeat(np.arange(len(ids)), arrays.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
     column = lambda name: flat.field(name)
     valid = flat.is_valid()
-    import pyarrow.compute as pc
-
     blank = pa.nulls(len(flat), pa.string())
     paths = pc.if_else(valid, column("canonical_path"), blank).to_pylist()
     texts = pc.if_else(valid, column("text_content"), blank).to_pylist()
@@ -154,7 +154,7 @@ def link_nodes(records: DataFrame, id_col: str = "parse_id", array_col: str = "n
     The record id and the array are the only columns that reach Python; a record is never split since its
     nodes are one row already, so no key can become hot.
     """
-    picked = records.select(F.col(id_col).alias("parse_id"), F.col(array_col).alias("nodes"))
+    picked = spread(records.select(F.col(id_col).alias("parse_id"), F.col(array_col).alias("nodes")), "parse_id")
     node = picked.schema["nodes"].dataType.elementType.simpleString()
     kind = picked.schema["parse_id"].dataType.simpleString()
     return picked.mapInArrow(_link_batches, f"parse_id {kind}, node_pos int, parent_pos int, node {node}")

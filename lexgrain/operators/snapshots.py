@@ -50,7 +50,8 @@ def keyed_digests(rows: DataFrame) -> DataFrame:
 
     Texts become digests before the shuffle, so it moves 8 bytes a text.
     """
-    picked = rows.select("doc_id", "version_id", "canonical_path", "loaded_at", text_digest("text_content").alias("digest"))
+    listed = rows.select("doc_id", "version_id", "canonical_path", "loaded_at", "text_content")
+    picked = listed.withColumn("digest", text_digest("text_content")).drop("text_content")
     last = picked.where(F.col("version_id").isNotNull() & F.col("canonical_path").isNotNull()).groupBy("doc_id", "version_id", "canonical_path")
     return last.agg(F.max(F.struct("loaded_at", "digest"))["digest"].alias("digest"))
 

@@ -46,6 +46,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows over all cores, for work that costs far more than moving them.
+
+    Large inputs have more splits than cores and are left as they are; only an input of fewer splits is shuffled,
+    by a hash of keys that are distinct or nearly so.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * 2, F.xxhash64(*keys))
+
+
 def take_bounded(df: DataFrame, limit: int) -> list[Row] | None:
     """All rows if there are at most `limit`, else None.  For control tables, never for data."""
     rows = df.limit(limit + 1).collect()

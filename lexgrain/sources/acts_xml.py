@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexgrain.plans.scale import spread
+
 AKN_NAMESPACE = "http://docs.oasis-open.org/legaldocml/ns/akn/"
 DOC = "struct<canonical_doc:string,doc_type:string,number:int,year:int,title:string,version_tag:string,valid_from:string,valid_to:string,source_url:string,urn:string,work_urn:string,expression_urn:string,manifestation_urn:string,publication_date:string,version_date:string,authority:string>"
 NODE = "struct<ordinal:int,node_type:string,label:string,canonical_path:string,sort_key:string,hierarchy_string:string,heading:string,text_raw:string,text_clean:string,text_hash:string,eid:string,level:int,text_xml_fragment:string,refs:array<struct<href:string,text:string>>>"
@@ -171,7 +173,7 @@ _DOC_NAMES, _NODE_NAMES = (re.findall(r"(?:^struct<|,)(\w+):", re.sub(r"array<.*
 
 def parsed(files: DataFrame, key: str = "path", content: str = "content", tags: Tags = Tags()) -> DataFrame:  # noqa: B008
     """key, doc, nodes, parse_error of each file (content: binary or string)."""
-    picked = files.select(F.col(key).alias("key"), F.col(content).alias("content"))
+    picked = spread(files.select(F.col(key).alias("key"), F.col(content).alias("content")), "key")
     kind = picked.schema["key"].dataType.simpleString()
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
