@@ -28,8 +28,8 @@ from lexgrain.plans.scale import cut_lineage, spread
 CAPACITY, STEP = 2048, 8
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
-#: Salts that spread the items of one size.
-SALTS = 64
+#: Items of one size that are ranked together.
+RANK_ROWS = 500_000
 _ENCODINGS: dict = {}
 #: Characters that are encoded at once; longer texts are counted in parts cut at line or word starts.
 PART_CHARS = 200_000
@@ -112,6 +112,27 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return out
 
 
+def _ranked(sized: DataFrame, histogram: dict[int, int]) -> DataFrame:
+    """The rows with their rank (from 0) among the rows of their size.
+
+    A size is cut into salted groups of about RANK_ROWS rows, so the commonest size is no hot group; the counts of
+    the groups, one number per RANK_ROWS rows and per size, give each group its offset.
+    """
+    salts = {s: -(-n // RANK_ROWS) for s, n in histogram.items() if n > RANK_ROWS}
+    number = F.element_at(F.create_map(*[F.lit(x).cast("long") for kv in salts.items() for x in kv]), F.col("size")) if salts else F.lit(None).cast("long")
+    salted = sized.withColumn("salt", F.pmod(F.xxhash64("doc_id", "part_no"), F.coalesce(number, F.lit(1).cast("long"))))
+    if salts:
+        offsets, before = [], defaultdict(int)
+        for r in sorted(salted.where(F.col("size").isin([*salts])).groupBy("size", "salt").agg(F.count(F.lit(1)).alias("n")).collect()):
+            offsets.append((r["size"], r["salt"], before[r["size"]]))
+            before[r["size"]] += r["n"]
+        salted = salted.join(F.broadcast(sized.sparkSession.createDataFrame(offsets, "size long, salt long, base long")), ["size", "salt"], "left")
+    else:
+        salted = salted.withColumn("base", F.lit(0).cast("long"))
+    nth = F.row_number().over(Window.partitionBy("size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "part_no"))
+    return salted.withColumn("rank", nth - 1 + F.coalesce("base", F.lit(0))).drop("base", "salt")
+
+
 def pack(items: DataFrame, capacity: int = CAPACITY, step: int = STEP) -> DataFrame:
     """container, slot, doc_id, part_no, n_tokens, tier, step_no of all items (doc_id, n_tokens).
 
@@ -121,19 +142,11 @@ def pack(items: DataFrame, capacity: int = CAPACITY, step: int = STEP) -> DataFr
     items = cut_lineage(items.select("doc_id", "n_tokens"))  # the counts are needed for the histogram and the result
     cut = items.where("n_tokens > 0").select("doc_id", "n_tokens", F.explode(F.sequence(F.lit(1), parts)).alias("part_no"))
     size = F.least(F.lit(capacity), F.col("n_tokens") - (F.col("part_no") - 1) * capacity).cast("long")
-    salted = cut.select("doc_id", (F.col("part_no") - 1).alias("part_no"), size.alias("size"), F.pmod(F.xxhash64("doc_id", "part_no"), F.lit(SALTS)).alias("salt"))
-    counts = sorted((r["size"], r["salt"], r["n"]) for r in salted.groupBy("size", "salt").agg(F.count(F.lit(1)).alias("n")).collect())  # capacity * SALTS rows at most
+    sized = cut.select("doc_id", (F.col("part_no") - 1).alias("part_no"), size.alias("size"))
+    histogram = {r["size"]: r["n"] for r in sized.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # `capacity` rows at most
+    runs = plan(histogram, capacity)
+    ranked = _ranked(sized, histogram)
     spark = items.sparkSession
-    histogram: dict[int, int] = defaultdict(int)
-    offsets = []
-    for s, salt, n in counts:
-        offsets.append((s, salt, histogram[s]))
-        histogram[s] += n
-    runs = plan(dict(histogram), capacity)
-    base = F.broadcast(spark.createDataFrame(offsets, "size long, salt long, base long"))
-    ranked = salted.join(base, ["size", "salt"])
-    nth = F.row_number().over(Window.partitionBy("size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "part_no"))
-    ranked = ranked.withColumn("rank", nth - 1 + F.col("base")).drop("base", "salt")
     table = F.broadcast(spark.createDataFrame([(s, r, r + n, c, k) for s, r, n, c, _, k in runs], "size long, low long, high long, first long, slot int"))
     held = (ranked["size"] == table["size"]) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     placed = ranked.join(table, held).select((F.col("first") + F.col("rank") - F.col("low")).alias("container"), "slot", "doc_id", "part_no", ranked["size"].alias("n_tokens"))
