@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ def filled(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value evaluated once per row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text_sha(c: Column) -> Column:
     """Hex sha256 of a text's UTF-8 bytes."""
     return F.sha2(c, 256)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexgrain.functions.ids import filled
+from lexgrain.functions.ids import filled, let
 
 #: Nothing longer goes into an embedding; texts of at most LEAST_CHARS are left out.
 EMBED_CHARS, LEAST_CHARS = 2000, 10
@@ -52,19 +52,27 @@ def content_hash(cleaned: Column, raw: Column) -> Column:
 
 
 def _pretty(segment: Column) -> Column:
-    base, rest = F.trim(F.lower(F.substring_index(segment, ":", 1))), F.trim(F.when(F.instr(segment, ":") > 0, F.substring(segment, F.instr(segment, ":") + 1, F.length(segment))).otherwise(""))
-    out = F.when(rest != "", F.concat_ws(" ", base, rest)).otherwise(base)
-    for names, with_id, alone in reversed(LEVELS):
-        out = F.when(base.isin(names), F.when(rest != "", F.concat(F.lit(with_id), rest)).otherwise(alone)).otherwise(out)
-    return out
+    def named(x: Column) -> Column:
+        base, rest = x["base"], x["rest"]
+        out = F.when(rest != "", F.concat_ws(" ", base, rest)).otherwise(base)
+        for names, with_id, alone in reversed(LEVELS):
+            out = F.when(base.isin(names), F.when(rest != "", F.concat(F.lit(with_id), rest)).otherwise(alone)).otherwise(out)
+        return out
+
+    at = F.instr(segment, ":")
+    rest = F.trim(F.when(at > 0, F.substring(segment, at + 1, F.length(segment))).otherwise(""))
+    return let(F.struct(F.trim(F.lower(F.substring_index(segment, ":", 1))).alias("base"), rest.alias("rest")), named)
 
 
 def hierarchy(path: Column) -> Column:
     """Readable chain of a canonical path; null for a path without segments."""
-    parts = F.filter(F.split(path, "/"), lambda p: p != "")
-    named = F.filter(parts, lambda p: ~F.lower(p).isin(TECHNICAL))
-    chosen = F.when(F.size(named) > 0, named).otherwise(parts)
-    return F.when(F.size(parts) > 0, F.array_join(F.transform(chosen, _pretty), " > "))
+    technical = lambda p: F.lower(p).isin(TECHNICAL)
+
+    def chain(parts: Column) -> Column:
+        chosen = F.when(F.exists(parts, lambda p: ~technical(p)), F.filter(parts, lambda p: ~technical(p))).otherwise(parts)
+        return F.when(F.size(parts) > 0, F.array_join(F.transform(chosen, _pretty), " > "))
+
+    return let(F.filter(F.split(path, "/"), lambda p: p != ""), chain)
 
 
 def export_context(chain: Column) -> Column:

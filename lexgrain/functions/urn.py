@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexgrain.functions.ids import filled
+from lexgrain.functions.ids import filled, let
 
 # Aliases and the acts they name, in order of precedence.
 ALIASES = {"TUIR": "dpr:917:1986", "Statuto del contribuente": "l:212:2000"}
@@ -51,16 +54,24 @@ def law_urn(text: Column, strict_reference: bool = True) -> Column:
     With `strict_reference` a decree-law reads as a law and an undotted DPR is not seen; without it both are told apart.
     """
     form = LAW.format(more="" if strict_reference else "|dpr")
-    part = lambda k: F.regexp_extract(text, form, k)
-    kind, number, year = F.lower(part(1)), part(2), part(3)
-    full = F.when(F.length(year) == 2, F.concat(F.when(year.cast("int") < PIVOT, "20").otherwise("19"), year)).otherwise(year)
-    has = lambda *w: F.array_contains(F.array(*[F.contains(kind, F.lit(x)) for x in w]), True)
-    law, legislative = (has("legge", "l."), "legge"), (has("d.lgs", "legislativo"), "decreto.legislativo")
-    decree_law, president = (has("d.l", "decreto legge"), "decreto.legge"), (has("d.p.r", "dpr"), "decreto.presidente.repubblica")
-    name = F.lit("legge")
-    for test, value in reversed([law, legislative, decree_law, president] if strict_reference else [legislative, decree_law, president, law]):
-        name = F.when(test, value).otherwise(name)
-    return F.when(kind != "", F.concat(F.lit("urn:nir:stato:"), name, F.lit(":"), full, F.lit(";"), number))
+    return let(F.regexp_extract(text, form, 0), lambda m: _law_name(m, form, strict_reference))
+
+
+def _law_name(match: Column, form: str, strict_reference: bool) -> Column:
+    """URN made of a matched citation; null for ''."""
+    part = lambda k: F.regexp_extract(match, form, k)
+
+    def named(kind: Column) -> Column:
+        has = lambda *w: reduce(or_, (F.contains(kind, F.lit(x)) for x in w))
+        law, legislative = (has("legge", "l."), "legge"), (has("d.lgs", "legislativo"), "decreto.legislativo")
+        decree_law, president = (has("d.l", "decreto legge"), "decreto.legge"), (has("d.p.r", "dpr"), "decreto.presidente.repubblica")
+        name = F.lit("legge")
+        for test, value in reversed([law, legislative, decree_law, president] if strict_reference else [legislative, decree_law, president, law]):
+            name = F.when(test, value).otherwise(name)
+        return name
+
+    full = let(part(3), lambda y: F.when(F.length(y) == 2, F.concat(F.when(y.cast("int") < PIVOT, "20").otherwise("19"), y)).otherwise(y))
+    return F.when(match != "", F.concat(F.lit("urn:nir:stato:"), let(F.lower(part(1)), named), F.lit(":"), full, F.lit(";"), part(2)))
 
 
 def with_fragment(base: Column, article: Column, comma: Column, letter: Column, number: Column) -> Column:
@@ -93,14 +104,18 @@ def nir_parts(urn: Column) -> dict[str, Column]:
 def resolve(match: Column, around: Column, own_act: Column, strict_reference: bool = True) -> Column:
     """STRUCT<urn, score, method> of a citation: explicit URN, law in the text, alias, article of the own act, else unresolved."""
     both = F.trim(F.concat_ws(" ", match, around))
-    parts = article_parts(match)
-    law = F.coalesce(law_urn(match, False), law_urn(around, False)) if not strict_reference else law_urn(both)
-    alias = alias_target(both)
+    law = law_urn(both) if strict_reference else F.coalesce(law_urn(match, False), law_urn(around, False))
     made = lambda urn, score, method: F.struct(urn.alias("urn"), F.lit(score).alias("score"), F.lit(method).alias("method"))
-    return (
-        F.when(F.contains(match, F.lit("urn:")), made(F.regexp_extract(match, r"(?U)(\S+)", 1), 1.0, "explicit"))
-        .when(law.isNotNull(), made(with_fragment(law, *parts), 0.85, "dynamic_parsing"))
-        .when(alias.isNotNull(), made(with_fragment(alias, *parts), 0.8, "alias"))
-        .when(parts[0].isNotNull() & (F.coalesce(own_act, F.lit("")) != ""), made(with_fragment(own_act, *parts), 0.6, "contextual"))
-        .otherwise(made(F.lit(None).cast("string"), 0.0, "unresolved"))
-    )
+
+    def chosen(known: Column) -> Column:
+        parts = [known[p] for p in ("article", "comma", "letter", "number")]
+        return (
+            F.when(F.contains(match, F.lit("urn:")), made(F.regexp_extract(match, r"(?U)(\S+)", 1), 1.0, "explicit"))
+            .when(known["law"].isNotNull(), made(with_fragment(known["law"], *parts), 0.85, "dynamic_parsing"))
+            .when(known["alias"].isNotNull(), made(with_fragment(known["alias"], *parts), 0.8, "alias"))
+            .when(parts[0].isNotNull() & (F.coalesce(own_act, F.lit("")) != ""), made(with_fragment(own_act, *parts), 0.6, "contextual"))
+            .otherwise(made(F.lit(None).cast("string"), 0.0, "unresolved"))
+        )
+
+    named = zip(article_parts(match), ("article", "comma", "letter", "number"), strict=True)
+    return let(F.struct(law.alias("law"), alias_target(both).alias("alias"), *[c.alias(n) for c, n in named]), chosen)

@@ -32,17 +32,18 @@ REFERENCE = (
 
 def places(c: Column, form: str, groups: int) -> Column:
     """ARRAY<STRUCT<start, match, groups ARRAY<STRING>>> of all matches; start counts characters from 0."""
-    found = F.regexp_extract_all(c, F.lit(form), F.lit(0))
-    between = F.transform(F.split(c, form, -1), F.length)
-    lengths = F.transform(found, F.length)
-    parts = [F.regexp_extract_all(c, F.lit(form), F.lit(k)) for k in range(1, groups + 1)]
     add = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x)
-    return F.transform(
-        found,
-        lambda m, i: F.struct(
-            (add(F.slice(between, F.lit(1), i + 1)) + add(F.slice(lengths, F.lit(1), i))).alias("start"), m.alias("match"), F.array(*[F.get(p, i) for p in parts]).alias("groups")
-        ),
-    )
+    groups_of = [F.regexp_extract_all(c, F.lit(form), F.lit(k)) for k in range(1, groups + 1)]
+    found = F.struct(F.regexp_extract_all(c, F.lit(form), F.lit(0)).alias("m"), F.transform(F.split(c, form, -1), F.length).alias("between"), *[g.alias(f"g{k}") for k, g in enumerate(groups_of)])
+
+    def placed(f: Column) -> Column:
+        lengths = F.transform(f["m"], F.length)
+        start = lambda i: add(F.slice(f["between"], F.lit(1), i + 1)) + add(F.slice(lengths, F.lit(1), i))
+        parts = lambda i: F.array(*[F.get(f[f"g{k}"], i) for k in range(groups)])
+        return F.transform(f["m"], lambda m, i: F.struct(start(i).alias("start"), m.alias("match"), parts(i).alias("groups")))
+
+    nothing = F.array().cast("array<struct<start:int,match:string,groups:array<string>>>")
+    return F.when(c.rlike(form), ids.let(found, placed)).otherwise(nothing)
 
 
 def _reference(kind: int, start: Column, match: Column, around: Column, doc: Column, confidence: Column, method: str, parts: list[Column] | None = None) -> Column:

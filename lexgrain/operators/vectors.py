@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -82,9 +83,16 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", ve
         out = found if out is None else out.unionByName(found)
     if out is None:
         return rows.select(F.col(key).alias("query_id"), key, F.lit(0.0).alias("score")).limit(0)
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col(key).alias("i"))))  # k rows a partition and query
-    top = out.groupBy("query_id").agg(F.slice(ranked, 1, k).alias("top")).select("query_id", F.explode("top").alias("t"))
-    return top.select("query_id", F.col("t.i").alias(key), (-F.col("t.s")).alias("score"))
+    splits = max(1, math.isqrt(out.rdd.getNumPartitions()))  # merged in two steps, so that no group is large
+    some = _merged(out.withColumn("_s", F.spark_partition_id() % splits), ["query_id", "_s"], key, k)
+    return _merged(some, ["query_id"], key, k).select("query_id", key, "score")
+
+
+def _merged(found: DataFrame, groups: list[str], key: str, k: int) -> DataFrame:
+    """The k best rows of each group, ties to the lower key."""
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col(key).alias("i"))))
+    top = found.groupBy(*groups).agg(F.slice(ranked, 1, k).alias("top")).select(*groups, F.explode("top").alias("t"))
+    return top.select(*groups, F.col("t.i").alias(key), (-F.col("t.s")).alias("score"))
 
 
 def _best(block_rows: list, k: int):  # noqa: ANN202

@@ -49,11 +49,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """The rows over all cores, for work that costs far more than moving them.
 
-    Large inputs have more splits than cores and are left as they are; only an input of fewer splits is shuffled,
-    by a hash of keys that are distinct or nearly so.
+    Large inputs have more splits than cores and are left as they are; only an input of few splits, or of a few
+    files (which may hold one row group each), is shuffled, by a hash of keys that are distinct or nearly so.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    splits = df.rdd.getNumPartitions()
+    if splits >= 4 * cores or (splits >= cores and len(df.inputFiles()) >= cores):
         return df
     return df.repartition(cores * 2, F.xxhash64(*keys))
 
