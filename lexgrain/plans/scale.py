@@ -6,10 +6,7 @@ only under an explicit bound, and a caller gets None beyond it so that it can ta
 
 from __future__ import annotations
 
-import os
 import tempfile
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -65,11 +62,6 @@ def take_bounded(df: DataFrame, limit: int) -> list[Row] | None:
     return rows if len(rows) <= limit else None
 
 
-def null_safe(names: list[str], a: str, b: str) -> Column:
-    """Equality of the named columns of two aliased frames, null equal to null."""
-    return reduce(and_, (F.col(f"{a}.{n}").eqNullSafe(F.col(f"{b}.{n}")) for n in names))
-
-
 def hot_values(df: DataFrame, key: str, share: float = HOT_SHARE, least: int = HOT_LEAST) -> list:
     """Values of `key` that hold at least `share` of the rows (and `least` rows): at most 1 / share of them.
 
@@ -84,22 +76,18 @@ def hot_values(df: DataFrame, key: str, share: float = HOT_SHARE, least: int = H
 
 
 def salted_left_join(
-    left: DataFrame, right: DataFrame, key: str, spread: Column, share: float = HOT_SHARE, least: int = HOT_LEAST, salts: int = SALTS
+    left: DataFrame, right: DataFrame, key: str, spread_by: Column, share: float = HOT_SHARE, least: int = HOT_LEAST, salts: int = SALTS
 ) -> DataFrame:
     """left ⟕ right on `key`, as a sort-merge join, with hot keys of the left side spread over `salts` parts.
 
-    Right rows of hot keys are repeated once per salt; `spread` is any expression of the left row that
+    Right rows of hot keys are repeated once per salt; `spread_by` is any expression of the left row that
     tells rows of one key apart.  The right side must not have columns of the left one but the key.
     """
     hot = hot_values(left, key, share, least)
     if not hot:
         return left.join(right.hint("merge"), key, "left")
     is_hot = F.col(key).isin(hot)
-    salted = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0)))
-    repeated = right.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).cast("long"))
-    return salted.withColumn("_salt", F.col("_salt").cast("long")).join(repeated.hint("merge"), [key, "_salt"], "left").drop("_salt")
-
-
-def spill_name(path: str, *parts: str) -> str:
-    """Join path parts below a shared folder that may be a URI."""
-    return "/".join([path.rstrip("/"), *(p.strip("/") for p in parts)]) if "://" in path else os.path.join(path, *parts)
+    salted = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("long"))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))).cast("array<bigint>")
+    repeated = right.withColumn("_salt", F.explode(copies))
+    return salted.join(repeated.hint("merge"), [key, "_salt"], "left").drop("_salt")
