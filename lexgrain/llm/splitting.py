@@ -152,6 +152,8 @@ def pieces(rows: DataFrame, keys: list[str], text: str, limit: int = LIMIT, over
         for batch in batches:
             texts = [t if isinstance(t, str) else None for t in batch["_text"]]
             found = pd.DataFrame(cut_batch(texts, limit, overlap), columns=["_i", "piece_no", "start_at", "end_at", "hard"])
+            if not len(found):
+                continue
             out = batch[keys].iloc[found["_i"]].reset_index(drop=True)
             out["piece_no"], out["start_at"], out["end_at"] = found["piece_no"].astype("int32"), found["start_at"], found["end_at"]
             whole = [len(texts[i]) == e for i, e in zip(found["_i"], found["end_at"], strict=True)]
