@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from lexgrain.plans.scale import spread
 
 AKN_NAMESPACE = "http://docs.oasis-open.org/legaldocml/ns/akn/"
+#: Deepest nesting that is serialised.
+DEPTH = 20_000
 DOC = "struct<canonical_doc:string,doc_type:string,number:int,year:int,title:string,version_tag:string,valid_from:string,valid_to:string,source_url:string,urn:string,work_urn:string,expression_urn:string,manifestation_urn:string,publication_date:string,version_date:string,authority:string>"
 NODE = "struct<ordinal:int,node_type:string,label:string,canonical_path:string,sort_key:string,hierarchy_string:string,heading:string,text_raw:string,text_clean:string,text_hash:string,eid:string,level:int,text_xml_fragment:string,refs:array<struct<href:string,text:string>>>"
 
@@ -156,6 +159,7 @@ def is_akoma(root: ET.Element) -> bool:
 
 def parse(content: bytes | str | None, tags: Tags = Tags()) -> tuple[dict | None, list[dict], str | None]:  # noqa: B008
     """(act, nodes, error) of one file; never raises."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), DEPTH))  # the serialiser recurses
     try:
         root = ET.fromstring(content or "")
         doc, nodes = parse_akoma(root, tags) if is_akoma(root) else parse_simple(root)
