@@ -86,7 +86,7 @@ def replay_runs(files: DataFrame, runs: DataFrame) -> DataFrame:
     return taken.select(F.coalesce("run_id", F.lit(OPEN_RUN)).cast("long").alias("run_id"), "raw_id")
 
 
-class _Store:
+class Store:
     """Small JSON files and sink folders below a shared folder, through Hadoop's file system API."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -100,6 +100,18 @@ class _Store:
         at = self._path(folder)
         return sorted(f.getPath().getName() for f in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
+    def exists(self, name: str) -> bool:
+        return self._fs.exists(self._path(name))
+
+    def delete(self, name: str) -> None:
+        self._fs.delete(self._path(name), True)
+
+    def move(self, name: str, to: str) -> None:
+        """Rename a folder over another one."""
+        self.delete(to)
+        self._fs.mkdirs(self._path(to).getParent())
+        self._fs.rename(self._path(name), self._path(to))
+
     def write(self, name: str, value: dict) -> None:
         """Write under another name and rename, so that a file is there whole or not at all."""
         part = self._path(f"tmp/{uuid.uuid4().hex}")
@@ -127,7 +139,7 @@ class Feed:
     SINK = "raw_id long, arrived_at timestamp_ntz, sha256 string"
 
     def __init__(self, spark: SparkSession, root: str, partitions: int = LOG_PARTITIONS) -> None:
-        self.spark, self.partitions, self._store = spark, partitions, _Store(spark, root)
+        self.spark, self.partitions, self._store = spark, partitions, Store(spark, root)
 
     def _last(self, folder: str) -> tuple[int, dict | None]:
         names = self._store.names(folder)
@@ -171,8 +183,6 @@ class Feed:
         self.batch(log, plan).write.mode("overwrite").parquet(staged)
         if work:
             work(self.spark.read.parquet(staged))
-        self._store._fs.delete(self._store._path(name), True)
-        self._store._fs.mkdirs(self._store._path("sink"))
-        self._store._fs.rename(self._store._path(f"staged/{number:010d}"), self._store._path(name))
+        self._store.move(f"staged/{number:010d}", name)
         self._store.write(f"commits/{number:010d}.json", plan)
         return number

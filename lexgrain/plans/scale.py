@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.02
 #: Below so many rows a key is never worth salting: one task sorts them at once.
 HOT_LEAST = 200_000
+#: Inputs of fewer bytes a core are spread before costly work.
+SPREAD_BYTES = 4 * 2**20
 #: Parts into which a hot key is split.
 SALTS = 32
 
@@ -46,12 +48,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """The rows over all cores, for work that costs far more than moving them.
 
-    Large inputs have more splits than cores and are left as they are; only an input of few splits, or of a few
-    files (which may hold one row group each), is shuffled, by a hash of keys that are distinct or nearly so.
+    Only an input of less than SPREAD_BYTES a core (as the optimizer estimates it, so no job runs) is shuffled, by a
+    hash of keys that are distinct or nearly so; a larger one has splits enough and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    if splits >= 4 * cores or (splits >= cores and len(df.inputFiles()) >= cores):
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= cores * SPREAD_BYTES:
         return df
     return df.repartition(cores * 2, F.xxhash64(*keys))
 
