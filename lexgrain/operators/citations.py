@@ -125,11 +125,12 @@ def resolution_log(job: DataFrame) -> DataFrame:
     return job.select(F.col("match_text").alias("original_text"), "resolved_urn", "confidence_score", "resolution_method", F.col("doc_id").alias("document_id"))
 
 
-def resolution_job(references: DataFrame, nodes: DataFrame, normalize_fragment: bool = False) -> DataFrame:
+def resolution_job(references: DataFrame, nodes: DataFrame, normalize_fragment: bool = False, acts: DataFrame | None = None) -> DataFrame:
     """source_node_id, target_canonical_node, relation_type, target_node_id, confidence: the edges of the citation graph.
 
     The part of a target after # (or all of it) is looked up as a path; of several nodes with that path the one of
     the lowest version and id counts.  The first reference (by ref_id) of each (source, target, relation) stands.
+    With `acts` (doc_id, canonical_doc; one row each) the path of a target with # is sought in the act before # only.
     """
     target = text.strip(F.coalesce("target_canonical_node", "target_canonical_doc", F.lit("")))
     named = references.withColumn("target", target).where("target <> ''")
@@ -137,8 +138,15 @@ def resolution_job(references: DataFrame, nodes: DataFrame, normalize_fragment:
     at = F.instr("target", "#")
     path = text.strip(F.when(at > 0, F.substring(F.col("target"), at + 1, F.length("target"))).otherwise(F.col("target")))
     looked = first.withColumn("path", ids.fragment_path(path) if normalize_fragment else path)
-    paths = nodes.where(F.col("canonical_path").isNotNull()).groupBy(F.col("canonical_path").alias("path")).agg(F.min(F.struct("version_id", "node_id"))["node_id"].alias("target_node_id"))
-    joined = looked.join(paths, "path", "left")
+    known = nodes.where(F.col("canonical_path").isNotNull())
+    best = F.min(F.struct("version_id", "node_id"))["node_id"].alias("target_node_id")
+    paths = known.groupBy(F.col("canonical_path").alias("path")).agg(best)
+    if acts is None:
+        joined = looked.join(paths, "path", "left")
+    else:
+        scoped = known.join(acts.select("doc_id", F.col("canonical_doc").alias("act")), "doc_id").groupBy("act", F.col("canonical_path").alias("path")).agg(best)
+        named = looked.withColumn("act", F.when(at > 0, text.strip(F.substring_index("target", "#", 1))))
+        joined = named.where("act is not null").join(scoped, ["act", "path"], "left").drop("act").unionByName(named.where("act is null").drop("act").join(paths, "path", "left"))
     return joined.select("source_node_id", F.col("target").alias("target_canonical_node"), "relation_type", "target_node_id", "confidence")
 
 

@@ -95,7 +95,8 @@ def quality(nodes: DataFrame, text_col: str = "text_content", limit: int | None
 
 def export_rows(nodes: DataFrame, acts: DataFrame) -> DataFrame:
     """id, source, source_id, context, text, url of nodes joined to their act (by its latest row)."""
-    act = latest(acts.where("doc_id is not null"), ["doc_id"], "updated_at").select("doc_id", "title", "canonical_doc", F.lit(True).alias("known"))
+    named = acts.where("doc_id is not null").select("doc_id", "title", "canonical_doc", "updated_at")
+    act = latest(named, ["doc_id"], "updated_at").select("doc_id", "title", "canonical_doc", F.lit(True).alias("known"))
     joined = nodes.select("doc_id", "node_id", "canonical_path", "text_content").join(act, "doc_id", "left")
     name = text.source_name(F.col("title"), F.col("canonical_doc"), F.coalesce("known", F.lit(False)))
     return joined.select(

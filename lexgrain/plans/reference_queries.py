@@ -80,7 +80,7 @@ LATEST_ACT = "act AS (SELECT * FROM acts WHERE doc_id IS NOT NULL QUALIFY row_nu
 
 
 def acts_latest(s: SparkSession, d: str) -> DataFrame:
-    return upserts.latest(read(s, d, "acts").where("doc_id is not null"), ["doc_id"], "updated_at")
+    return upserts.latest(read(s, d, "acts").where("doc_id is not null").select("doc_id", "canonical_doc", "updated_at"), ["doc_id"], "updated_at")
 
 
 # --- sources -----------------------------------------------------------------------------------------------------

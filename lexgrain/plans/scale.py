@@ -81,14 +81,17 @@ def salted_left_join(
 ) -> DataFrame:
     """left ⟕ right on `key`, as a sort-merge join, with hot keys of the left side spread over `salts` parts.
 
-    Right rows of hot keys are repeated once per salt; `spread_by` is any expression of the left row that
+    Right rows of hot keys are repeated once per salt; left rows without key match nothing and are not shuffled; `spread_by` is any expression of the left row that
     tells rows of one key apart.  The right side must not have columns of the left one but the key.
     """
-    hot = hot_values(left, key, share, least)
-    if not hot:
-        return left.join(right.hint("merge"), key, "left")
-    is_hot = F.col(key).isin(hot)
-    salted = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("long"))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))).cast("array<bigint>")
-    repeated = right.withColumn("_salt", F.explode(copies))
-    return salted.join(repeated.hint("merge"), [key, "_salt"], "left").drop("_salt")
+    known = left.where(F.col(key).isNotNull())
+    hot = hot_values(known, key, share, least)
+    if hot:
+        is_hot = F.col(key).isin(hot)
+        salted = known.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("long"))
+        copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))).cast("array<bigint>")
+        repeated = right.withColumn("_salt", F.explode(copies))
+        joined = salted.join(repeated.hint("merge"), [key, "_salt"], "left").drop("_salt")
+    else:
+        joined = known.join(right.hint("merge"), key, "left")
+    return joined.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)

@@ -37,6 +37,14 @@ class Tags:
             "meta identification publication classification lifecycle analysis references proprietary eli rdf FRBRWork FRBRExpression FRBRManifestation FRBRthis FRBRuri FRBRalias FRBRdate FRBRauthor FRBRcountry FRBRlanguage".split()
         )
     )
+    #: Leave the text of nested structural elements out of a node's text.
+    exclude_structural: bool = False
+
+    def text(self, element: ET.Element) -> str:
+        if not self.exclude_structural:
+            return "".join(element.itertext())
+        inner = [x for child in element for x in (("" if local(child.tag) in self.structural else self.text(child)), child.tail or "")]
+        return (element.text or "") + "".join(inner)
 
 
 def local(tag: object) -> str:
@@ -142,7 +150,7 @@ def parse_akoma(root: ET.Element, tags: Tags = Tags()) -> tuple[dict, list[dict]
         segment = f"{tag}:{own}" if own else tag
         path = f"{above}/{segment}" if above else segment
         if tag in tags.structural:
-            raw = "".join(element.itertext()).strip()
+            raw = tags.text(element).strip()
             cleaned = clean_inline(raw)
             if cleaned:
                 refs = [(x.get("href") or "", "".join(x.itertext()).strip()) for x in element.iter() if local(x.tag) == "ref"]

@@ -109,3 +109,7 @@ def test_resolution_job(spark):
     nodes = spark.createDataFrame([("z", 1, "art:5"), ("a", 2, "art:5"), ("q", 1, None)], "node_id string, version_id long, canonical_path string")
     got = {tuple(r) for r in citations.resolution_job(refs, nodes).collect()}
     assert got == {("n", "l:1:1#art:5", "CITES", "z", 0.4), ("m", "art:5", "CITES", "z", 0.6)}
+    owned = nodes.selectExpr("if(node_id = 'a', 'd1', 'd2') as doc_id", "*")
+    acts = spark.createDataFrame([("d1", "l:1:1"), ("d2", "l:2:2")], "doc_id string, canonical_doc string")
+    scoped = {tuple(r) for r in citations.resolution_job(refs, owned, acts=acts).collect()}
+    assert scoped == {("n", "l:1:1#art:5", "CITES", "a", 0.4), ("m", "art:5", "CITES", "z", 0.6)}

@@ -43,6 +43,11 @@ def test_akoma_act():
     assert nodes[1]["text_clean"] == "Testo misto, l 1/2001." and nodes[1]["refs"] == [{"href": "/akn/x", "text": "l 1/2001"}]
 
 
+def test_nested_structures_can_be_left_out():
+    nodes = acts_xml.parse(AKOMA, acts_xml.Tags(exclude_structural=True))[1]
+    assert [n["text_clean"] for n in nodes] == ["Art. 1", "Testo misto, l 1/2001."]
+
+
 @pytest.mark.parametrize("content", [None, "", b"", "<a><b></a>", b"\x00\xff", "kein xml"])
 def test_unreadable_files_give_an_error(content):
     doc, nodes, error = acts_xml.parse(content)
