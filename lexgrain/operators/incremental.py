@@ -26,7 +26,7 @@ from lexgrain.plans.scale import take_bounded
 #: Partitions of the log, each with its own offsets.
 LOG_PARTITIONS = 64
 #: Most finished runs whose plan is broadcast; a longer plan is joined by shuffle.
-PLAN_RUNS = 20_000
+PLAN_RUNS = 2_000
 OPEN_RUN = 0
 
 
@@ -45,32 +45,35 @@ def finished_runs(runs: DataFrame) -> DataFrame:
     return named.where(F.col("ok") & F.col("started_at").isNotNull()).select("run_id", "started_at")
 
 
-def batch_plan(runs: DataFrame) -> DataFrame:
-    """run_id, after, until: the span of log positions every finished run commits, in order of start.
+def batch_plan(runs: DataFrame, partitions: int = LOG_PARTITIONS) -> DataFrame:
+    """run_id, part, after, until: the span of each log partition that a finished run commits, in order of start.
 
-    Failed and unfinished runs commit nothing; the next finished run replays their span.  The open span after the
-    last finished run belongs to OPEN_RUN.
+    A run plans from the offsets committed last up to its start.  A run that does not finish commits nothing, so the
+    next finished run replays its plan and goes on from there.  What follows the last span is left to OPEN_RUN.
     """
-    order = Window.orderBy("started_at", "run_id")
-    return finished_runs(runs).select("run_id", F.lag("started_at").over(order).alias("after"), F.col("started_at").alias("until"))
+    order = Window.orderBy("started_at", "run_id")  # a control table: one row per run
+    spans = finished_runs(runs).select("run_id", F.lag("started_at").over(order).alias("after"), F.col("started_at").alias("until"))
+    return spans.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))))
 
 
 def _placed(log: DataFrame, runs: DataFrame) -> DataFrame:
-    """The log with run_id and run_order of the plan span that holds the row's position (nulls: no run yet).
+    """The log with run_id and run_order of the plan span that holds the row's offset (nulls: no run yet).
 
-    Spans are joined by calendar day, so this is an equi-join at any number of runs; the plan is broadcast only
-    when it is known to have at most PLAN_RUNS spans.
+    Spans are joined by partition and calendar day, so this is an equi-join at any number of runs; the plan is
+    broadcast only when it is known to be that of at most PLAN_RUNS runs.
     """
     plan = batch_plan(runs)
     first = plan.agg(F.to_date(F.min("until")).alias("d")).first()["d"]
     low = F.lit(first).cast("date")
     span_days = F.sequence(F.greatest(low, F.to_date(F.coalesce("after", "until"))), F.to_date("until"))
-    spans = plan.select("run_id", F.col("until").alias("run_order"), "after", "until", F.explode(span_days).alias("day"))
+    spans = plan.select("run_id", F.col("until").alias("run_order"), "part", "after", "until", F.explode(span_days).alias("day"))
     if take_bounded(finished_runs(runs), PLAN_RUNS) is not None:
         spans = F.broadcast(spans)
     at = F.col("arrived_at")
-    held = (F.greatest(F.to_date(at), low) == F.col("day")) & (at < F.col("until")) & (F.col("after").isNull() | (at >= F.col("after")))
-    return log.join(spans, held, "left").drop("after", "until", "day")
+    placed = log.withColumn("part", log_partition(F.col("raw_id"))).withColumn("day", F.greatest(F.to_date(at), low))
+    held = (at < F.col("s.until")) & (F.col("s.after").isNull() | (at >= F.col("s.after")))
+    same = (F.col("l.part") == F.col("s.part")) & (F.col("l.day") == F.col("s.day"))
+    return placed.alias("l").join(spans.alias("s"), same & held, "left").select("raw_id", "arrived_at", "sha256", "run_id", "run_order")
 
 
 def replay_runs(files: DataFrame, runs: DataFrame) -> DataFrame:
