@@ -7,6 +7,8 @@ only under an explicit bound, and a caller gets None beyond it so that it can ta
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per context, so that their Python finds it wherever it was started.
+
+    The archive is made on the driver, from where Spark serves it to every executor, late ones included.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_lexgrain_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="lexgrain-package-")
+    archive = Path(folder, f"lexgrain-{Path(folder).name[-8:]}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, str(source.relative_to(root.parent)))
+    sc.addPyFile(str(archive))
+    sc._lexgrain_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or where that is unset (tests) a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
