@@ -110,10 +110,12 @@ class Store:
         self._fs.delete(self._path(name), True)
 
     def move(self, name: str, to: str) -> None:
-        """Rename a folder over another one."""
-        self.delete(to)
+        """Rename a folder to a name that is not there yet; what stands under that name is never touched."""
+        if self.exists(to):
+            raise OSError(f"{self.root}/{to} is there already")
         self._fs.mkdirs(self._path(to).getParent())
-        self._fs.rename(self._path(name), self._path(to))
+        if not self._fs.rename(self._path(name), self._path(to)):
+            raise OSError(f"{self.root}/{name} could not be renamed to {to}")
 
     def write(self, name: str, value: dict) -> None:
         """Write under another name and rename, so that a file is there whole or not at all."""
@@ -124,6 +126,7 @@ class Store:
         self._fs.mkdirs(self._path(name).getParent())
         if not self._fs.rename(part, self._path(name)):
             self._fs.delete(part, False)
+            raise OSError(f"{self.root}/{name} could not be written")
 
     def load(self, name: str) -> dict:
         stream = self._fs.open(self._path(name))
@@ -136,7 +139,9 @@ class Store:
 class Feed:
     """Takes new and changed records of a log run by run, exactly once.
 
-    State below `root`: plans/N.json (written ahead), commits/N.json, sink/batch=N (what batch N took up).
+    State below `root`: plans/N.json (written ahead), commits/N.json, sink/batch=N (what batch N took up).  A sink
+    folder gets its name by one rename after the work is done, so a plan without commit whose folder is there is
+    whole and only needs its commit; a plan without folder is worked on again.
     """
 
     SINK = "raw_id long, arrived_at timestamp_ntz, sha256 string"
@@ -161,31 +166,35 @@ class Feed:
         self._store.write(f"plans/{done + 1:010d}.json", fresh)
         return done + 1, fresh
 
-    def taken(self) -> DataFrame:
-        """The sink, each key and offset once."""
-        names = self._store.names("sink")
+    def taken(self, before: int | None = None) -> DataFrame:
+        """The sink, each key and offset once; only of batches below `before` if that is given."""
+        names = [n for n in self._store.names("sink") if before is None or int(n.split("=")[1]) < before]
         paths = [f"{self._store.root}/sink/{n}" for n in names]
         held = self.spark.read.schema(StructType.fromDDL(self.SINK)).parquet(*paths) if paths else self.spark.createDataFrame([], self.SINK)
         return held.dropDuplicates(["raw_id", "arrived_at", "sha256"])
 
-    def batch(self, log: DataFrame, plan: dict) -> DataFrame:
-        """Rows of the planned span that differ from what was last taken up for their key."""
+    def batch(self, log: DataFrame, number: int, plan: dict) -> DataFrame:
+        """Rows of the planned span that differ from what earlier batches last took up for their key."""
         part = log_partition(F.col("raw_id"), self.partitions)
         spans = F.create_map(*[x for k in range(self.partitions) for x in (F.lit(k), F.struct(F.lit(plan["after"][k]).cast("timestamp_ntz").alias("after"), F.lit(plan["until"][k]).cast("timestamp_ntz").alias("until")))])
         span, at = spans[part], F.col("arrived_at")
         rows = deliveries(log).where((at < span["until"]) & (span["after"].isNull() | (at >= span["after"])))
         newest = rows.groupBy("raw_id").agg(F.max(F.struct("arrived_at", "sha256")).alias("n")).select("raw_id", "n.*")
-        last = self.taken().groupBy("raw_id").agg(F.max(F.struct("arrived_at", "sha256"))["sha256"].alias("held"))
+        last = self.taken(number).groupBy("raw_id").agg(F.max(F.struct("arrived_at", "sha256"))["sha256"].alias("held"))
         return newest.join(last, "raw_id", "left").where(F.col("held").isNull() | (F.col("held") != F.col("sha256"))).drop("held")
 
     def run(self, log: DataFrame, as_of: str, work: Callable[[DataFrame], object] | None = None) -> int:
-        """Plan, take up, work, commit; returns the batch number.  An exception leaves the plan to be replayed."""
+        """Plan, take up, work, commit; returns the batch number.  An exception leaves the plan to be replayed.
+
+        A replay works again unless the batch is in the sink already: then its work was done.
+        """
         number, plan = self.plan(as_of)
         name = f"sink/batch={number:010d}"
-        staged = f"{self._store.root}/staged/{number:010d}"
-        self.batch(log, plan).write.mode("overwrite").parquet(staged)
-        if work:
-            work(self.spark.read.parquet(staged))
-        self._store.move(f"staged/{number:010d}", name)
+        staged = f"staged/{number:010d}"
+        if not self._store.exists(name):
+            self.batch(log, number, plan).write.mode("overwrite").parquet(f"{self._store.root}/{staged}")
+            if work:
+                work(self.spark.read.parquet(f"{self._store.root}/{staged}"))
+            self._store.move(staged, name)
         self._store.write(f"commits/{number:010d}.json", plan)
         return number

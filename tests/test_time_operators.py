@@ -168,3 +168,50 @@ def test_feed_survives_failures(spark, tmp_path):
     assert seen[2] == {(k % 4, f"h{k}") for k in range(16, 20)}  # h17 again is no change
     assert feed.run(log, "2020-01-03 00:00:00") == 3
     assert feed.taken().count() == 12
+
+
+def test_feed_survives_failure_between_move_and_commit(spark, tmp_path, monkeypatch):
+    log = spark.createDataFrame([(k % 4, f"h{k}", when(k), "new", 0) for k in range(12)] + [(1, "h9", when(14), "new", 0)], FILES)
+    feed = incremental.Feed(spark, f"file://{tmp_path}/feed", 4)
+    assert feed.run(log, "2020-01-01 08:00:00") == 0
+    write, worked = incremental.Store.write, []
+
+    def dies(store, name, value):
+        if name.startswith("commits/"):
+            raise RuntimeError("lost")
+        write(store, name, value)
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental.Store, "write", dies)
+        with pytest.raises(RuntimeError):
+            feed.run(log, "2020-01-01 12:00:00", lambda b: worked.append(b.count()))
+    assert not (tmp_path / "feed/commits/0000000001.json").exists() and (tmp_path / "feed/sink/batch=0000000001").exists()
+    assert feed.run(log, "2020-01-02 00:00:00", lambda b: worked.append(b.count())) == 1
+    assert {tuple(r)[::2] for r in feed.taken().collect()} == {(k % 4, f"h{k}") for k in range(4, 12)}
+    assert feed.run(log, "2020-01-02 00:00:00", lambda b: worked.append(b.count())) == 2  # h9 again is no change
+    assert worked == [4, 0]
+
+
+class Refusing:
+    """A file system that renames nothing into the sink."""
+
+    def __init__(self, fs):
+        self._fs = fs
+
+    def __getattr__(self, name):
+        return getattr(self._fs, name)
+
+    def rename(self, path, to):
+        return "/sink/" not in to.toString() and self._fs.rename(path, to)
+
+
+def test_feed_does_not_commit_a_failed_rename(spark, tmp_path):
+    log = spark.createDataFrame([(1, "a", when(1), "new", 0)], FILES)
+    feed = incremental.Feed(spark, f"file://{tmp_path}/feed", 4)
+    fs = feed._store._fs
+    feed._store._fs = Refusing(fs)
+    with pytest.raises(OSError, match="renamed"):
+        feed.run(log, "2020-01-02 00:00:00")
+    feed._store._fs = fs
+    assert not feed._store.names("commits") and feed.taken().count() == 0
+    assert feed.run(log, "2020-01-02 00:00:00") == 0 and feed.taken().count() == 1
