@@ -33,6 +33,11 @@ def nodes(s: SparkSession, d: str) -> DataFrame:
     return read(s, d, "nodes")
 
 
+def fragments(s: SparkSession, d: str) -> DataFrame:
+    """parse_id, node_pos, f: the XML fragments of the parsed acts, without those that are missing."""
+    return read(s, d, "parsed_acts").select("parse_id", F.posexplode("nodes.text_xml_fragment").alias("node_pos", "f")).where("f is not null")
+
+
 def escaped(c: Column) -> Column:
     return F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
 
@@ -187,9 +192,9 @@ FROM (SELECT parse_id, i, nodes[i].text_xml_fragment AS f FROM (SELECT DISTINCT
   AND len(regexp_extract_all(f, '<[a-zA-Z]')) = len(regexp_extract_all(f, '</')) AND NOT regexp_matches(f, '/>')"""
 )
 def x09_akoma_visit(s: SparkSession, d: str) -> DataFrame:
-    found = read(s, d, "parsed_acts").select("parse_id", F.posexplode("nodes.text_xml_fragment").alias("node_pos", "f")).where("f is not null").distinct()
+    found = fragments(s, d).distinct()
     whole = F.concat(F.lit(f'<akomaNtoso xmlns="{acts_xml.AKN_NAMESPACE}3.0"><act><body>'), C("f"), F.lit("</body></act></akomaNtoso>"))
-    keyed = found.select(F.struct("parse_id", "node_pos").alias("k"), whole.alias("xml"), "f").where(~C("f").contains("/>"))
+    keyed = found.select(F.struct("parse_id", "node_pos").alias("k"), whole.alias("xml"))
     parsed = acts_xml.parsed(keyed.select(F.to_json("k").alias("k"), "xml"), "k", "xml").where("parse_error is null")
     key = F.from_json("k", "parse_id long, node_pos int")
     top = F.get("nodes", F.lit(0))
@@ -272,9 +277,15 @@ def f07_clean(s: SparkSession, d: str) -> DataFrame:
 @query(r"""SELECT parse_id, CAST(i - 1 AS INTEGER) AS node_pos, regexp_replace(regexp_replace(regexp_replace(f, '<[^>]*>', '', 'g'), '&lt;', '<', 'g'), '\s+', '', 'g') AS txt FROM (SELECT parse_id, i, nodes[i].text_xml_fragment AS f FROM (SELECT DISTINCT parse_id, nodes, unnest(range(1, len(nodes) + 1)) AS i FROM parsed_acts))
 WHERE regexp_matches(f, '^<(point|item)[ >]') AND regexp_matches(f, '</(point|item)>$') AND NOT regexp_matches(f, '&')""")
 def f08_element_text(s: SparkSession, d: str) -> DataFrame:
-    found = read(s, d, "parsed_acts").select("parse_id", F.posexplode("nodes.text_xml_fragment").alias("node_pos", "f"))
-    whole = found.where(C("f").rlike("^<(point|item)[ >]") & C("f").rlike("</(point|item)>$") & ~C("f").contains("&")).distinct()
-    return whole.select("parse_id", "node_pos", F.regexp_replace(F.array_join(F.xpath(C("f"), F.lit("//text()")), " "), r"\s+", "").alias("txt"))
+    found = fragments(s, d)
+    shown = found.where(C("f").rlike("^<(point|item)[ >]") & C("f").rlike("</(point|item)>$") & ~C("f").contains("&")).distinct()  # what its SQL can follow
+    return shown.select("parse_id", "node_pos", F.regexp_replace(acts_xml.element_texts(C("f")), r"\s+", "").alias("txt"))
+
+
+@query()
+def f08_all_elements(s: SparkSession, d: str) -> DataFrame:
+    """The text of every fragment of any element, as it is joined; null where the fragment cannot be parsed."""
+    return fragments(s, d).distinct().select("parse_id", "node_pos", acts_xml.element_texts(C("f")).alias("txt"))
 
 
 @query(f"SELECT node_id, sha256(coalesce(nullif({sql_clean('text_content')}, ''), nullif(text_content, ''), '')) AS h FROM nodes")

@@ -200,6 +200,19 @@ def parsed(files: DataFrame, key: str = "path", content: str = "content", tags:
     return picked.mapInPandas(work, f"key {kind}, doc {DOC}, nodes array<{NODE}>, parse_error string").withColumnRenamed("key", key)
 
 
+def element_text(fragment: str | None) -> str | None:
+    """All text nodes of an element in document order, joined by one space; null for what cannot be parsed."""
+    try:
+        return " ".join(ET.fromstring(fragment or "").itertext())
+    except ET.ParseError:
+        return None
+
+
+def element_texts(fragments: Column) -> Column:
+    """element_text of every value."""
+    return F.pandas_udf(lambda batch: batch.map(element_text), "string")(fragments)
+
+
 def root_tag(xml: Column) -> Column:
     """Lower-case name of the first element, '' if there is none."""
     return F.lower(F.regexp_extract(xml, r"(?s)^(?:[\s\x{FEFF}]|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>)*<([A-Za-z_][^\s/>]*)", 1))

@@ -1,9 +1,11 @@
 """Act XML, zips, JSON lines, streaming."""
 
+import xml.etree.ElementTree as ET
 import zipfile
 
 import pytest
 
+from lexgrain.plans import reference_queries
 from lexgrain.sources import acts_xml, files
 from lexgrain.streaming import ingest
 
@@ -110,3 +112,36 @@ def test_windowed_stream(spark, tmp_path):
     q = ingest.windowed_counts(stream, "t", "k").writeStream.format("memory").queryName("w").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r["n"] for r in spark.table("w").collect()) == [1, 2]
+
+
+FRAGMENTS = [
+    "<article eId='a'><num>Art. 1</num><paragraph><list><point>uno <b>due</b></point><item>tre</item></list></paragraph></article>",
+    "<annex><p>x &amp; y</p>\n <p>è &#8364;</p></annex>", "<point><p>a</p><p>b</p></point>", "<section><p>a<eol/>b</p></section>", "<chapter/>", "<list><point>cut", "", None,
+]
+
+
+def walk(element):
+    found = [element.text] if element.text else []
+    for child in element:
+        found += walk(child) + ([child.tail] if child.tail else [])
+    return found
+
+
+@pytest.fixture
+def fragment_tables(spark, tmp_path):
+    rows = [(k, [(f,), ("<point>due</point>",)]) for k, f in enumerate(FRAGMENTS)]
+    spark.createDataFrame(rows + rows[:2], "parse_id long, nodes array<struct<text_xml_fragment string>>").write.parquet(f"{tmp_path}/parsed_acts.parquet")
+    return str(tmp_path)
+
+
+def test_text_of_any_element(spark, fragment_tables):
+    got = {(r["parse_id"], r["node_pos"]): r["txt"] for r in reference_queries.f08_all_elements(spark, fragment_tables).collect()}
+    want = {(k, 1): "due" for k in range(len(FRAGMENTS))}
+    for k, f in enumerate(FRAGMENTS[:-1]):
+        want[k, 0] = " ".join(walk(ET.fromstring(f))) if f.endswith(">") else None
+    assert got == want and got[0, 0] == "Art. 1 uno  due tre" and got[1, 0] == "x & y \n  è €" and got[3, 0] == "a b" and got[5, 0] is None
+
+
+def test_visit_takes_fragments_with_empty_tags(spark, fragment_tables):
+    got = {(r["parse_id"], r["node_pos"]): (r["n_nodes"], r["root"]) for r in reference_queries.x09_akoma_visit(spark, fragment_tables).collect()}
+    assert got == {(k, 1): (1, "point") for k in range(len(FRAGMENTS))} | {(0, 0): (5, "article"), (1, 0): (1, "annex"), (2, 0): (1, "point"), (3, 0): (1, "section")}
