@@ -3,8 +3,8 @@
 The log is cut into partitions by a hash of its key; the position in a partition is the arrival time.  A batch
 plan (start and end position per partition) is written ahead of the work.  A run that finds a plan without
 commit replays exactly that plan before it makes a new one.  The sink keeps rows by (key, offset, digest) and
-so takes a replayed row only once.  `Feed` does this run by run; `replay_runs` gives the same result for a whole
-recorded history of runs in one plan.
+so takes a replayed row only once.  `Feed` does this run by run, and `feed_runs` drives it through a recorded
+history of runs; `replay_runs` gives the same result in one plan, by a window instead of the log.
 
 Defined results: rows without key, digest or arrival time deliver nothing; repeated rows count once; of rows of a
 key with one arrival time the greatest digest counts; content that goes back to an earlier state is a change; an
@@ -155,14 +155,21 @@ class Feed:
             return -1, None
         return int(names[-1].split(".")[0]), self._store.load(f"{folder}/{names[-1]}")
 
-    def plan(self, as_of: str) -> tuple[int, dict]:
-        """The batch to work on: the last plan if it was not committed, else a new one up to `as_of` (exclusive)."""
+    def plan(self, log: DataFrame, as_of: str | None) -> tuple[int, dict]:
+        """The batch to work on: the last plan if it was not committed, else a new one.
+
+        A new plan ends, in each partition, at the last row there that arrived before `as_of` (None: at the last row);
+        where nothing is new it ends where it starts.
+        """
         done, last = self._last("commits")
         number, plan = self._last("plans")
         if number > done:
             return number, plan
         after = last["until"] if last else [None] * self.partitions
-        fresh = {"after": after, "until": [as_of] * self.partitions}
+        rows = deliveries(log) if as_of is None else deliveries(log).where(F.col("arrived_at") < F.lit(as_of).cast("timestamp_ntz"))
+        ends = rows.groupBy(log_partition(F.col("raw_id"), self.partitions).alias("part")).agg(F.max("arrived_at").cast("string").alias("end"))
+        found = {r["part"]: r["end"] for r in ends.collect()}  # one row per log partition
+        fresh = {"after": after, "until": [max(filter(None, (after[k], found.get(k))), default=None) for k in range(self.partitions)]}
         self._store.write(f"plans/{done + 1:010d}.json", fresh)
         return done + 1, fresh
 
@@ -178,17 +185,22 @@ class Feed:
         part = log_partition(F.col("raw_id"), self.partitions)
         spans = F.create_map(*[x for k in range(self.partitions) for x in (F.lit(k), F.struct(F.lit(plan["after"][k]).cast("timestamp_ntz").alias("after"), F.lit(plan["until"][k]).cast("timestamp_ntz").alias("until")))])
         span, at = spans[part], F.col("arrived_at")
-        rows = deliveries(log).where((at < span["until"]) & (span["after"].isNull() | (at >= span["after"])))
+        rows = deliveries(log).where((at <= span["until"]) & (span["after"].isNull() | (at > span["after"])))
         newest = rows.groupBy("raw_id").agg(F.max(F.struct("arrived_at", "sha256")).alias("n")).select("raw_id", "n.*")
         last = self.taken(number).groupBy("raw_id").agg(F.max(F.struct("arrived_at", "sha256"))["sha256"].alias("held"))
         return newest.join(last, "raw_id", "left").where(F.col("held").isNull() | (F.col("held") != F.col("sha256"))).drop("held")
 
-    def run(self, log: DataFrame, as_of: str, work: Callable[[DataFrame], object] | None = None) -> int:
+    def batches(self) -> DataFrame:
+        """raw_id and the number of the batch that took it up, for every row of the sink."""
+        held = self.spark.read.schema(StructType.fromDDL(f"{self.SINK}, batch long")).parquet(f"{self._store.root}/sink")
+        return held.groupBy("raw_id", "arrived_at", "sha256").agg(F.min("batch").alias("batch")).select("raw_id", "batch")
+
+    def run(self, log: DataFrame, as_of: str | None, work: Callable[[DataFrame], object] | None = None) -> int:
         """Plan, take up, work, commit; returns the batch number.  An exception leaves the plan to be replayed.
 
         A replay works again unless the batch is in the sink already: then its work was done.
         """
-        number, plan = self.plan(as_of)
+        number, plan = self.plan(log, as_of)
         name = f"sink/batch={number:010d}"
         staged = f"staged/{number:010d}"
         if not self._store.exists(name):
@@ -198,3 +210,18 @@ class Feed:
             self._store.move(staged, name)
         self._store.write(f"commits/{number:010d}.json", plan)
         return number
+
+
+def feed_runs(files: DataFrame, runs: DataFrame, root: str, partitions: int = LOG_PARTITIONS) -> DataFrame:
+    """run_id, raw_id: what every finished run takes up, and OPEN_RUN for the next one, by a Feed below the new folder `root`.
+
+    One batch per finished run, in order of start; a run that did not finish commits nothing, so it has no batch and
+    the next one goes on from the offsets committed last.
+    """
+    feed, ran = Feed(files.sparkSession, root, partitions), []
+    for r in finished_runs(runs).select("run_id", "started_at", F.col("started_at").cast("string").alias("as_of")).orderBy("started_at", "run_id").collect():
+        feed.run(files, r["as_of"])
+        ran.append(r["run_id"])
+    feed.run(files, None)
+    run = F.array(*[F.lit(x).cast("long") for x in [*ran, OPEN_RUN]])
+    return feed.batches().select(F.get(run, F.col("batch").cast("int")).alias("run_id"), "raw_id")

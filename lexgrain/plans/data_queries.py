@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexgrain.operators import history, incremental, intervals, nested, references, snapshots
-from lexgrain.plans.scale import read
+from lexgrain.plans.scale import read, shared_dir
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -41,7 +43,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return incremental.replay_runs(read(spark, d, "raw_files"), read(spark, d, "ingestion_runs"))
+    return incremental.feed_runs(read(spark, d, "raw_files"), read(spark, d, "ingestion_runs"), f"{shared_dir(spark)}/feed-{uuid.uuid4().hex}")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """History, intervals, snapshots and incremental runs against plain Python."""
 
 import datetime as dt
+import json
 import random
 import unicodedata
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexgrain.operators import history, incremental, intervals, snapshots
 
@@ -215,3 +217,25 @@ def test_feed_does_not_commit_a_failed_rename(spark, tmp_path):
     feed._store._fs = fs
     assert not feed._store.names("commits") and feed.taken().count() == 0
     assert feed.run(log, "2020-01-02 00:00:00") == 0 and feed.taken().count() == 1
+
+
+def test_feed_runs_by_offsets_of_each_partition(spark, tmp_path):
+    files, runs = history_of(random.Random(7), 60)
+    runs = runs[:6] + runs[-2:]
+    got = {tuple(r) for r in incremental.feed_runs(spark.createDataFrame(files, FILES), spark.createDataFrame(runs, RUNS), f"file://{tmp_path}/feed", 4).collect()}
+    assert got == replay(files, runs) and {r for r, _ in got} > {0}
+    plans = [json.loads(p.read_text()) for p in sorted((tmp_path / "feed/commits").glob("0*.json"))]
+    assert len(plans) == 1 + len({r for r, s, st in runs if r and s and st == "finished"})
+    assert all(x["until"] == y["after"] for x, y in zip(plans, plans[1:], strict=False))
+    part = {r["k"]: r["p"] for r in spark.createDataFrame([(1,), (2,), (3,)], "k long").select("k", incremental.log_partition(F.col("k"), 4).alias("p")).collect()}
+    last = {}
+    for f, h, at, st, _ in files:
+        if f and h and at and st == "new":
+            last[part[f]] = max(last.get(part[f], at), at)
+    assert plans[-1]["until"] == [str(last[k]) if k in last else None for k in range(4)] and len(set(plans[-1]["until"])) > 1
+
+
+def test_feed_runs_of_empty_tables(spark, tmp_path):
+    log, runs = spark.createDataFrame([(1, "a", when(1), "new", 0)], FILES), spark.createDataFrame([], RUNS)
+    assert [tuple(r) for r in incremental.feed_runs(log, runs, f"file://{tmp_path}/a", 4).collect()] == [(0, 1)]
+    assert incremental.feed_runs(log.limit(0), runs, f"file://{tmp_path}/b", 4).count() == 0
