@@ -26,7 +26,7 @@ LEVELS = [
     (["tit", "titolo", "title"], "Titolo ", "Titolo"),
 ]
 # Italian months.
-MONTHS = "gennaio febbraio marzo aprile maggio giugno luglio agosto settembre ottobre novembre dicembre".split()
+MONTHS = ["gennaio", "febbraio", "marzo", "aprile", "maggio", "giugno", "luglio", "agosto", "settembre", "ottobre", "novembre", "dicembre"]
 
 
 def strip(c: Column) -> Column:

@@ -1,11 +1,17 @@
 """Compact text deltas between versions: keep, delete and insert tokens, and their application.
 
 A delta is tab-separated tokens: =n keeps n characters, -n deletes n, +text inserts percent-encoded text.
+
+The difference is sought between words: what both texts begin and end with is kept, words that stand once in either
+text anchor the rest, and between two anchors the same is done again.  That takes little more than time in proportion
+to the texts, so texts of any length are treated alike.
 """
 
 from __future__ import annotations
 
-import difflib
+import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
@@ -16,42 +22,72 @@ from pyspark.sql.types import StringType
 
 from lexgrain.functions.text import compression_ratio
 
-#: Texts whose product of lengths is beyond it are compared by lines and words, not by characters.
-CHAR_LIMIT = 4_000_000
 _PLAIN = " !~*'();/?:@&=+$,#-_.<>«»"
+_WORD = re.compile(r"\w+|\s+|[^\w\s]")
 
 
-def _parts(text: str, fine: bool) -> list[str]:
-    import re
-
-    return list(text) if fine else re.findall(r"\w+|\s+|[^\w\s]", text)
-
-
-def build(base: str | None, updated: str | None) -> str:
-    """Delta from base to updated; null counts as ''."""
-    base, updated = base or "", updated or ""
-    start = 0
-    least = min(len(base), len(updated))
-    while start < least and base[start] == updated[start]:
+def _ends(a: list | str, b: list | str) -> tuple[int, int]:
+    """How many items both begin with, and how many both end with after that."""
+    start, least = 0, min(len(a), len(b))
+    while start < least and a[start] == b[start]:
         start += 1
     stop = 0
-    while stop < least - start and base[-1 - stop] == updated[-1 - stop]:
+    while stop < least - start and a[-1 - stop] == b[-1 - stop]:
         stop += 1
-    a, b = base[start : len(base) - stop], updated[start : len(updated) - stop]
-    fine = len(a) * len(b) <= CHAR_LIMIT
-    x, y = _parts(a, fine), _parts(b, fine)
-    steps: list[tuple[str, object]] = [("=", start)]
-    for op, i, j, k, m in difflib.SequenceMatcher(None, x, y, autojunk=not fine).get_opcodes():
-        if op == "equal":
-            steps.append(("=", sum(map(len, x[i:j]))))
+    return start, stop
+
+
+def _anchors(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places of words that stand once in both, as many as keep their order."""
+    once = [w for w, n in Counter(a).items() if n == 1]
+    count, place = Counter(b), {w: j for j, w in enumerate(b)}
+    at = {w: i for i, w in enumerate(a)}
+    pairs = sorted((at[w], place[w]) for w in once if count[w] == 1)
+    tails: list[int] = []
+    ends: list[int] = []
+    back: list[int] = []
+    for k, (_, j) in enumerate(pairs):  # longest increasing run of places
+        n = bisect_left(tails, j)
+        tails[n : n + 1] = [j]
+        ends[n : n + 1] = [k]
+        back.append(ends[n - 1] if n else -1)
+    out, k = [], ends[-1] if ends else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = back[k]
+    return out[::-1]
+
+
+def _steps(a: list[str], b: list[str]) -> Iterator[tuple[str, object]]:
+    """Steps from the words a to the words b."""
+    work = [(0, len(a), 0, len(b))]
+    while work:
+        i, j, k, m = work.pop()
+        x, y = a[i:j], b[k:m]
+        start, stop = _ends(x, y)
+        if start or stop:
+            if start == len(x) == len(y):
+                yield "=", sum(map(len, x))
+                continue
+            work += [(j - stop, j, m - stop, m)] * bool(stop) + [(i + start, j - stop, k + start, m - stop)] + [(i, i + start, k, k + start)] * bool(start)
             continue
-        if j > i:
-            steps.append(("-", sum(map(len, x[i:j]))))
-        if m > k:
-            steps.append(("+", "".join(y[k:m])))
-    steps.append(("=", stop))
+        anchors = _anchors(x, y)
+        if not anchors:  # different words: only the letters they share at their ends are kept
+            old, new = "".join(x), "".join(y)
+            start, stop = _ends(old, new)
+            yield from (("=", start), ("-", len(old) - start - stop), ("+", new[start : len(new) - stop]), ("=", stop))
+            continue
+        parts, p, q = [], 0, 0
+        for u, v in [*anchors, (len(x), len(y))]:
+            parts.append((i + p, i + u, k + q, k + v))
+            p, q = u, v
+        work += reversed(parts)
+
+
+def build(base: str | None, updated: str | None) -> str:
+    """Delta from base to updated; null counts as ''."""
     merged: list[list] = []
-    for sign, value in steps:
+    for sign, value in _steps(_WORD.findall(base or ""), _WORD.findall(updated or "")):
         if not value:
             continue
         if merged and merged[-1][0] == sign:

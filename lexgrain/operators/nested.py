@@ -119,12 +119,11 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         ids, arrays = batch.column(0), batch.column(1)
         lengths = arrays.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        fragments = pc.binary_length(arrays.flatten().field("text_xml_fragment")).fill_null(0).to_numpy(zero_copy_only=False)
+        upto = np.concatenate([[0], np.cumsum(fragments, dtype=np.int64)])[np.concatenate([[0], np.cumsum(lengths)])]
         start = 0
         while start < batch.num_rows:  # slices of bounded size; a single record is never split
-            stop, held = start, 0
-            while stop < batch.num_rows and (stop == start or held < BUFFER_BYTES):
-                held += int(lengths[stop]) * 600
-                stop += 1
+            stop = max(start + 1, int(np.searchsorted(upto, upto[start] + BUFFER_BYTES, side="right")) - 1)
             yield _link(ids.slice(start, stop - start), arrays.slice(start, stop - start))
             start = stop
 

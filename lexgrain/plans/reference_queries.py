@@ -54,9 +54,9 @@ def sql_clean(x: str) -> str:
     return sql_strip(rf"regexp_replace(regexp_replace(regexp_replace({x}, '\r\n?', chr(10), 'g'), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')")
 
 
-ART = r"(?i)art(?:icolo|\.)\s*(\d+[a-z-]*)(?:,\s*comma\s*(\d+[a-z-]*))?(?:,\s*lettera\s*([a-z]))?(?:,\s*n\.\s*(\d+))?"
-REL = "CASE WHEN regexp_matches({0}, '(?i)modificato da|sostituito da|inserito da') THEN 'AMENDS' WHEN regexp_matches({0}, '(?i)abrogato') THEN 'REPEALS' WHEN regexp_matches({0}, '(?i)in deroga a') THEN 'DEROGATES' ELSE 'CITES' END"
-LAW = r"(?i)(legge|l\.|d\.lgs\.?|decreto legislativo|d\.l\.|decreto legge|d\.p\.r\.)(?:\s+(?:regionale|provinciale))?[^0-9]*?\b(\d{1,4})\b(?:[^0-9]{1,15})?\b(\d{2,4})\b"
+# Patterns and names are those that the functions use, in the words of the SQL engine.
+ART, LAW, _AKN, _MON = urn.ARTICLE, urn.LAW.format(more=""), urn.AKN, text.MONTHS
+REL = "CASE " + " ".join(f"WHEN regexp_matches({{0}}, '(?i){form}') THEN '{name}'" for name, form in urn.RELATIONS if name != "CITES") + " ELSE 'CITES' END"
 
 
 def sql_law(x: str) -> str:
@@ -67,17 +67,10 @@ def sql_law(x: str) -> str:
     return f"CASE WHEN {part(1)} <> '' THEN 'urn:nir:stato:' || {name} || ':' || ({year}) || ';' || {part(2)} END"
 
 
-_PRETTY = """CASE
- WHEN b IN ('art','articolo','article') THEN CASE WHEN r <> '' THEN 'Art. ' || r ELSE 'Art.' END
- WHEN b IN ('com','comma','paragraph') THEN CASE WHEN r <> '' THEN 'Comma ' || r ELSE 'Comma' END
- WHEN b IN ('let','lett','letter','lettera') THEN CASE WHEN r <> '' THEN 'lett. ' || r ELSE 'Lettera' END
- WHEN b IN ('num','numero','item','number') THEN CASE WHEN r <> '' THEN 'n. ' || r ELSE 'Numero' END
- WHEN b IN ('capo','chapter') THEN CASE WHEN r <> '' THEN 'Capo ' || r ELSE 'Capo' END
- WHEN b IN ('tit','titolo','title') THEN CASE WHEN r <> '' THEN 'Titolo ' || r ELSE 'Titolo' END
- WHEN r <> '' THEN b || ' ' || r ELSE b END"""
+_PRETTY = "CASE " + " ".join(f"WHEN b IN {tuple(names)} THEN CASE WHEN r <> '' THEN '{with_id}' || r ELSE '{alone}' END" for names, with_id, alone in text.LEVELS) + " WHEN r <> '' THEN b || ' ' || r ELSE b END"
 # Chains of all distinct paths: relation `chain(canonical_path, h)`.
 CHAIN = f"""seg AS (SELECT canonical_path, i, string_split(canonical_path, '/')[i] AS s FROM (SELECT canonical_path, unnest(range(1, len(string_split(canonical_path, '/')) + 1)) AS i FROM (SELECT DISTINCT canonical_path FROM nodes WHERE canonical_path IS NOT NULL))),
-ok AS (SELECT *, lower(s) IN ('akomantoso','akomanotoso','akoma','akn','it','act','main','main.xml') AS tech FROM seg WHERE s <> ''),
+ok AS (SELECT *, lower(s) IN {tuple(text.TECHNICAL)} AS tech FROM seg WHERE s <> ''),
 pick AS (SELECT * FROM ok QUALIFY NOT tech OR bool_and(tech) OVER (PARTITION BY canonical_path)),
 pr AS (SELECT canonical_path, i, trim(lower(split_part(s, ':', 1))) AS b, trim(CASE WHEN contains(s, ':') THEN substr(s, instr(s, ':') + 1) ELSE '' END) AS r FROM pick),
 chain AS (SELECT canonical_path, string_agg({_PRETTY}, ' > ' ORDER BY i) AS h FROM pr GROUP BY canonical_path)"""
@@ -195,7 +188,7 @@ def x09_akoma_visit(s: SparkSession, d: str) -> DataFrame:
     found = fragments(s, d).distinct()
     whole = F.concat(F.lit(f'<akomaNtoso xmlns="{acts_xml.AKN_NAMESPACE}3.0"><act><body>'), C("f"), F.lit("</body></act></akomaNtoso>"))
     keyed = found.select(F.struct("parse_id", "node_pos").alias("k"), whole.alias("xml"))
-    parsed = acts_xml.parsed(keyed.select(F.to_json("k").alias("k"), "xml"), "k", "xml").where("parse_error is null")
+    parsed = acts_xml.parsed(keyed.select(F.to_json("k").alias("k"), "xml"), "k", "xml", recover=False).where("parse_error is null")
     key = F.from_json("k", "parse_id long, node_pos int")
     top = F.get("nodes", F.lit(0))
     return parsed.where(F.size("nodes") > 0).select(key["parse_id"].alias("parse_id"), key["node_pos"].alias("node_pos"), F.size("nodes").alias("n_nodes"), F.size(top["refs"]).alias("n_refs"), top["node_type"].alias("root"))
@@ -227,9 +220,6 @@ def x19_urn_parts(s: SparkSession, d: str) -> DataFrame:
     return read(s, d, "acts").select("doc_id", "urn", *[c.alias(k) for k, c in urn.nir_parts(C("urn")).items()])
 
 
-_AKN = r"(?i)/akn/[a-z]{2}/(act|bill|doc)/([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})/(\d+)(?:/|$)"
-
-
 @query(f"""SELECT doc_id, akn_uri, coalesce(nullif(lower(regexp_extract(akn_uri, '{_AKN}', 2)), ''), 'altro') AS doc_type, CAST(nullif(regexp_extract(akn_uri, '{_AKN}', 5), '') AS BIGINT) AS "number", CAST(nullif(regexp_extract(akn_uri, '{_AKN}', 4)[:4], '') AS INTEGER) AS act_year, nullif(regexp_extract(akn_uri, '{_AKN}', 3), '') AS authority FROM acts""")
 def x20_akn_parts(s: SparkSession, d: str) -> DataFrame:
     return read(s, d, "acts").select("doc_id", "akn_uri", *[c.alias(k) for k, c in urn.akn_parts(C("akn_uri")).items()])
@@ -308,7 +298,6 @@ def f12_source_name(s: SparkSession, d: str) -> DataFrame:
     return read(s, d, "acts").select("doc_id", text.source_name(C("title"), C("canonical_doc"), F.lit(True)).alias("source"))
 
 
-_MON = "gennaio febbraio marzo aprile maggio giugno luglio agosto settembre ottobre novembre dicembre".split()
 _DM = rf"(?i)\b(\d{{1,2}})\s+({'|'.join(_MON)})\s+(\d{{4}})\b"
 _DS = r"\b(\d{1,2})/(\d{1,2})/(\d{4})\b"
 

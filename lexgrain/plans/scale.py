@@ -6,6 +6,7 @@ only under an explicit bound, and a caller gets None beyond it so that it can ta
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -17,8 +18,6 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.02
 #: Below so many rows a key is never worth salting: one task sorts them at once.
 HOT_LEAST = 200_000
-#: Inputs of fewer bytes a core are spread before costly work.
-SPREAD_BYTES = 4 * 2**20
 #: Parts into which a hot key is split.
 SALTS = 32
 
@@ -47,13 +46,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or where that is unset (tests) a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: spark.checkpoint.dir.
+
+    Where it is unset a folder of this machine serves only while everything runs in this one process (tests); on a
+    cluster its executors could not read each other's files there, so that is an error.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_lexgrain_shared", None)
     if not found:
-        found = getattr(spark, "_lexgrain_shared", None)
-        if not found:
-            found = tempfile.mkdtemp(prefix="lexgrain-")
-            spark._lexgrain_shared = found
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        found = spark._lexgrain_shared = tempfile.mkdtemp(prefix="lexgrain-")
     return found
 
 
@@ -68,11 +70,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """The rows over all cores, for work that costs far more than moving them.
 
-    Only an input of less than SPREAD_BYTES a core (as the optimizer estimates it, so no job runs) is shuffled, by a
-    hash of keys that are distinct or nearly so; a larger one has splits enough and is left as it is.
+    An input with fewer splits than there are cores would leave cores idle, so it is shuffled by a hash of keys that
+    are distinct or nearly so; one with splits enough, as any large table is, is left where it lies.  The rows are the
+    same either way.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= cores * SPREAD_BYTES:
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
         return df
     return df.repartition(cores * 2, F.xxhash64(*keys))
 

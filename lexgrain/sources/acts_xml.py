@@ -1,25 +1,33 @@
 """Parsers of act XML: a simple dialect and Akoma Ntoso, one row per file with its act and nodes.
 
-Mixed content needs a real parser, so this is Python (Arrow batches of whole files, no shuffle).  A file that
-cannot be parsed gives a row with parse_error and no nodes; comments and processing instructions are no text.
+Mixed content needs a real parser, so this is Python (Arrow batches of whole files, no shuffle).  A file that is not
+well-formed is read by a recovering parser (`recover`), which closes what is open and leaves out what closes nothing;
+a file without any element gives a row with parse_error and no nodes.  Comments and processing instructions are no text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import html
 import re
 import sys
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexgrain.functions import urn
 from lexgrain.plans.scale import spread
 
 AKN_NAMESPACE = "http://docs.oasis-open.org/legaldocml/ns/akn/"
+# Where the FRBR metadata stand.
+FRBR = {
+    "urn": ("FRBRWork", "FRBRthis"), "work_urn": ("FRBRWork", "FRBRuri"), "expression_urn": ("FRBRExpression", "FRBRthis"), "manifestation_urn": ("FRBRManifestation", "FRBRthis"),
+    "publication_date": ("FRBRWork", "FRBRdate"), "version_date": ("FRBRExpression", "FRBRdate"),
+}
 #: Deepest nesting that is serialised.
 DEPTH = 20_000
 DOC = "struct<canonical_doc:string,doc_type:string,number:int,year:int,title:string,version_tag:string,valid_from:string,valid_to:string,source_url:string,urn:string,work_urn:string,expression_urn:string,manifestation_urn:string,publication_date:string,version_date:string,authority:string>"
@@ -31,12 +39,15 @@ class Tags:
     """Which elements become nodes and which subtrees are metadata."""
 
     # Element names of the two dialects.
-    structural: frozenset = field(default=frozenset("article articolo paragraph comma clause section part chapter book annex allegato item point list".split()))
-    metadata: frozenset = field(
-        default=frozenset(
-            "meta identification publication classification lifecycle analysis references proprietary eli rdf FRBRWork FRBRExpression FRBRManifestation FRBRthis FRBRuri FRBRalias FRBRdate FRBRauthor FRBRcountry FRBRlanguage".split()
-        )
+    structural: frozenset = frozenset(
+        ("article", "articolo", "paragraph", "comma", "clause", "section", "part", "chapter", "book", "annex", "allegato", "item", "point", "list")
     )
+    metadata: frozenset = frozenset(
+        (
+            "meta", "identification", "publication", "classification", "lifecycle", "analysis", "references", "proprietary", "eli", "rdf", "FRBRWork", "FRBRExpression", "FRBRManifestation",
+            "FRBRthis", "FRBRuri", "FRBRalias", "FRBRdate", "FRBRauthor", "FRBRcountry", "FRBRlanguage",
+        )
+    )
     #: Leave the text of nested structural elements out of a node's text.
     exclude_structural: bool = False
 
@@ -121,24 +132,26 @@ def parse_simple(root: ET.Element) -> tuple[dict, list[dict]]:
     return doc, out
 
 
-_AKN = re.compile(r"/akn/[a-z]{2}/(?:act|bill|doc)/([^/]+)/([^/]+)/(\d{4})-\d{2}-\d{2}/(\d+)(?:/|$)", re.IGNORECASE)
+_AKN = re.compile(urn.AKN)
 
 
-def parse_akoma(root: ET.Element, tags: Tags = Tags()) -> tuple[dict, list[dict]]:  # noqa: B008
-    """Act and nodes of an Akoma Ntoso document: structural elements with text, in preorder."""
-    frbr: dict[tuple[str, str], str] = {}
+def frbr_of(root: ET.Element) -> dict[str, str | None]:
+    """URNs and dates of the FRBR metadata of an Akoma document; the first of each kind counts, '' is null."""
+    said: dict[tuple[str, str], str] = {}
     for part in root.iter():
         if local(part.tag) in ("FRBRWork", "FRBRExpression", "FRBRManifestation"):
             for x in part:
-                frbr.setdefault((local(part.tag), local(x.tag)), x.get("value") or x.get("date") or "")
-    said = lambda *key: frbr.get(key) or None
-    urn = said("FRBRWork", "FRBRthis")
-    doc = {"urn": urn, "work_urn": said("FRBRWork", "FRBRuri"), "expression_urn": said("FRBRExpression", "FRBRthis"), "manifestation_urn": said("FRBRManifestation", "FRBRthis")}
-    doc |= {"publication_date": said("FRBRWork", "FRBRdate"), "version_date": said("FRBRExpression", "FRBRdate")}
-    m = _AKN.search(urn or "")
-    kind = m[1].lower() if m else "altro"
-    doc |= {"doc_type": kind, "number": int(m[4]) if m else None, "year": int(m[3]) if m else None, "authority": m[2] if m else None}
-    doc |= {"canonical_doc": f"{kind}:{m[4]}:{m[3]}" if m else (urn or "altro:0:0"), "version_tag": doc["expression_urn"] or doc["version_date"]}
+                said.setdefault((local(part.tag), local(x.tag)), x.get("value") or x.get("date") or "")
+    return {name: said.get(key) or None for name, key in FRBR.items()}
+
+
+def parse_akoma(root: ET.Element, tags: Tags = Tags()) -> tuple[dict, list[dict]]:  # noqa: B008
+    """Act and nodes of an Akoma Ntoso document: structural elements with text, in preorder."""
+    doc: dict = frbr_of(root)
+    m = _AKN.search(doc["urn"] or "")
+    kind = m[2].lower() if m else "altro"
+    doc |= {"doc_type": kind, "number": int(m[5]) if m else None, "year": int(m[4][:4]) if m else None, "authority": m[3] if m else None}
+    doc |= {"canonical_doc": f"{kind}:{m[5]}:{m[4][:4]}" if m else (doc["urn"] or "altro:0:0"), "version_tag": doc["expression_urn"] or doc["version_date"]}
     out: list[dict] = []
     stack = [(root, "", 0)]
     while stack:  # preorder without recursion, so depth has no limit
@@ -165,11 +178,66 @@ def is_akoma(root: ET.Element) -> bool:
     return local(root.tag).lower() == "akomantoso" or str(root.tag).startswith("{" + AKN_NAMESPACE)
 
 
-def parse(content: bytes | str | None, tags: Tags = Tags()) -> tuple[dict | None, list[dict], str | None]:  # noqa: B008
+_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<raw>.*?)(?:\]\]>|\Z)|<[?!][^>]*(?:>|\Z)|<(?P<close>/)?(?P<name>[A-Za-z_][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*?)(?P<void>/)?>""", re.DOTALL)
+_ATTRIBUTE = re.compile(r"""([A-Za-z_][^\s=/>]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+
+
+def recovered(text: str) -> ET.Element | None:
+    """The tree of a text that is not well-formed, None if it holds no element.
+
+    An end tag closes all that stands open inside its element and is left out where no such element is open; what is
+    open at the end is closed there; a '<' or '&' that begins nothing is text; text outside the first element is lost.
+    """
+    builder, stack, at, begun = ET.TreeBuilder(), [], 0, False
+    spaces: dict[str, str] = {}
+    for m in _MARKUP.finditer(text):
+        if stack:
+            builder.data(html.unescape(text[at : m.start()]) + (m["raw"] or ""))
+        at = m.end()
+        name = m["name"]
+        if not name or (begun and not stack):
+            continue
+        if m["close"]:
+            while name in stack:
+                last = stack.pop()
+                builder.end(last)
+                if last == name:
+                    break
+            continue
+        given = {x[1]: html.unescape(x[2] or x[3] or x[4] or "") for x in _ATTRIBUTE.finditer(m["rest"])}
+        spaces |= {k: v for k, v in given.items() if k == "xmlns"}
+        full = f"{{{spaces['xmlns']}}}{name}" if "xmlns" in spaces and ":" not in name else name.rpartition(":")[2]
+        builder.start(full, {k.rpartition(":")[2]: v for k, v in given.items() if not k.startswith("xmlns")})
+        begun = True
+        if m["void"]:
+            builder.end(full)
+        else:
+            stack.append(name)
+    if not begun:
+        return None
+    if stack:
+        builder.data(html.unescape(text[at:]))
+    for name in reversed(stack):
+        builder.end(name)
+    return builder.close()
+
+
+def _root(content: bytes | str | None, recover: bool) -> ET.Element:
+    try:
+        return ET.fromstring(content or "")
+    except ET.ParseError:
+        text = content.decode("utf-8", "replace") if isinstance(content, bytes) else content or ""
+        root = recovered(re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", text)) if recover else None
+        if root is None:
+            raise
+        return root
+
+
+def parse(content: bytes | str | None, tags: Tags = Tags(), recover: bool = True) -> tuple[dict | None, list[dict], str | None]:  # noqa: B008
     """(act, nodes, error) of one file; never raises."""
     sys.setrecursionlimit(max(sys.getrecursionlimit(), DEPTH))  # the serialiser recurses
     try:
-        root = ET.fromstring(content or "")
+        root = _root(content, recover)
         doc, nodes = parse_akoma(root, tags) if is_akoma(root) else parse_simple(root)
         return doc, nodes, None
     except Exception as e:
@@ -183,7 +251,7 @@ def _filled(value: dict | None, names: list[str]) -> dict | None:
 _DOC_NAMES, _NODE_NAMES = (re.findall(r"(?:^struct<|,)(\w+):", re.sub(r"array<.*", "array", t)) for t in (DOC, NODE))
 
 
-def parsed(files: DataFrame, key: str = "path", content: str = "content", tags: Tags = Tags()) -> DataFrame:  # noqa: B008
+def parsed(files: DataFrame, key: str = "path", content: str = "content", tags: Tags = Tags(), recover: bool = True) -> DataFrame:  # noqa: B008
     """key, doc, nodes, parse_error of each file (content: binary or string)."""
     picked = spread(files.select(F.col(key).alias("key"), F.col(content).alias("content")), "key")
     kind = picked.schema["key"].dataType.simpleString()
@@ -192,7 +260,7 @@ def parsed(files: DataFrame, key: str = "path", content: str = "content", tags:
         for batch in batches:
             for at in range(0, len(batch), 64):  # trees and rows of few files are held at once
                 part = batch.iloc[at : at + 64]
-                rows = [(k, *parse(c, tags)) for k, c in zip(part["key"], part["content"], strict=True)]
+                rows = [(k, *parse(c, tags, recover)) for k, c in zip(part["key"], part["content"], strict=True)]
                 yield pd.DataFrame(
                     {"key": [r[0] for r in rows], "doc": [_filled(r[1], _DOC_NAMES) for r in rows], "nodes": [[_filled(n, _NODE_NAMES) for n in r[2]] for r in rows], "parse_error": [r[3] for r in rows]}
                 )
@@ -223,9 +291,15 @@ def dialect(xml: Column) -> Column:
 
 
 def frbr(xml: Column) -> Column:
-    """STRUCT of the FRBR metadata of an Akoma document, by XPath over well-formed text."""
-    at = lambda path: F.nullif(F.xpath_string(xml, F.lit(path)), F.lit(""))
-    return F.struct(
-        at("//FRBRWork/FRBRthis/@value").alias("urn"), at("//FRBRWork/FRBRuri/@value").alias("work_urn"), at("//FRBRExpression/FRBRthis/@value").alias("expression_urn"),
-        at("//FRBRManifestation/FRBRthis/@value").alias("manifestation_urn"), at("//FRBRWork/FRBRdate/@date").alias("publication_date"), at("//FRBRExpression/FRBRdate/@date").alias("version_date"),
-    )
+    """STRUCT of the FRBR metadata of an Akoma document; all null for a text that cannot be parsed."""
+
+    def work(batch: pd.Series) -> pd.DataFrame:
+        found = []
+        for content in batch:
+            try:
+                found.append(frbr_of(ET.fromstring(content or "")))
+            except ET.ParseError:
+                found.append(dict.fromkeys(FRBR))
+        return pd.DataFrame(found, columns=[*FRBR], dtype=object)
+
+    return F.pandas_udf(work, ", ".join(f"{name} string" for name in FRBR))(xml)

@@ -41,6 +41,45 @@ def test_index_gives_every_element_its_span():
     assert not np.isin(found.fragment, [200, 201, 202]).any()
 
 
+def spans(text):
+    found, _ = index([text, "<z/>"])
+    return {(int(a), int(b)) for f, a, b in zip(found.fragment, found.start, found.end, strict=True) if f == 0}
+
+
+def test_what_is_hidden_holds_no_elements():
+    assert spans("<a><!-- <b> --><c/></a>") == {(0, 23), (15, 19)}
+    t = "<a><![CDATA[<b>x</b> ]] > <c]]><d/></a>"
+    assert spans(t) == {(0, len(t)), (t.index("<d/>"), t.index("<d/>") + 4)}
+    t = "<?xml version='1.0' x='>'?><!DOCTYPE a [<!ENTITY e '<q>'>]><a><?p <b> > ?><!-- \" ' --><c></c></a>"
+    assert spans(t) == {(t.index("<a>"), len(t)), (t.index("<c>"), t.index("<c>") + 7)}
+    assert spans("<a><!-- <b></b></a>") == {(0, -1)}
+    found, _ = index(["<a><![CDATA[ <b>", "<c></c>", "<!-- "])
+    assert found.fragment.tolist() == [0, 1] and found.end.tolist() == [-1, 23]
+
+
+def test_both_quotes_hold_the_other_and_brackets():
+    for tag in ("""<r><a x='it"s'><b/></a></r>""", """<r><a x="l'art" y='>"' z="a>b'"><b/></a></r>""", """<r><a x='"' y='"'><b c='>'/></a></r>"""):
+        assert len(spans(tag)) == 3 and all(b > 0 and ET.fromstring(tag[a:b]) is not None for a, b in spans(tag))
+    assert spans("""<r>l'a"<b>"'</b>'</r>""") == {(0, 21), (7, 16)}
+    assert spans("""<r><a x='>""") == {(0, -1)}
+
+
+def test_random_quotes_and_comments():
+    rng = random.Random(5)
+
+    def make(depth):
+        tag = rng.choice("abc")
+        attr = "".join(rng.choice(["", f""" {k}="l'a>{k}" """, f""" {k}='"<'""".replace("<", ">"), f' {k}="x"', f" {k}=''"]) for k in "xyz")
+        inner = "".join(rng.choice(["t'", '"', "<!-- <a> ' -->", "<![CDATA[<b>\"]]>", "<?p <c> ?>", make(depth - 1) if depth else ""]) for _ in range(4))
+        return f"<{tag}{attr}/>" if rng.random() < 0.2 else f"<{tag}{attr}>{inner}</{tag}>"
+
+    for t in [make(3) for _ in range(300)]:
+        found = spans(t)
+        assert len(found) == len(list(ET.fromstring(t).iter()))
+        for a, b in found:
+            ET.fromstring(t[a:b])
+
+
 def test_cut_off_fragments_have_open_spans():
     found, _ = index(["<a><b>x</b><c>y", "<a>", "<a", ""])
     assert (found.end[found.fragment == 0] < 0).sum() == 2

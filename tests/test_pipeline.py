@@ -13,9 +13,9 @@ def test_pipeline_is_idempotent(spark, tmp_path, capsys):
     src = tmp_path / "in"
     src.mkdir()
     (src / "a.xml").write_text(SIMPLE)
-    (src / "a2.xml").write_text(SIMPLE.replace("v1", "v2").replace("dettaglio", "nuovo dettaglio, art. 5 della legge 7/2001"))
+    (src / "a2.xml").write_text(SIMPLE.replace("t3", "t4").replace("per litro", "per litro, art. 5 della legge 7/2001"))
     (src / "k.xml").write_text(AKOMA)
-    (src / "bad.xml").write_text("<a>")
+    (src / "bad.xml").write_text("kein Element")
     t = pipeline.Tables(spark, f"file://{tmp_path}/t")
     seen = []
     for _ in range(2):
@@ -23,18 +23,18 @@ def test_pipeline_is_idempotent(spark, tmp_path, capsys):
         made = pipeline.parse(t)
         made |= {"refs": pipeline.extract_references(t), "edges": pipeline.resolve_references(t), "events": pipeline.detect_conflicts(t), "deltas": pipeline.build_deltas(t)}
         seen.append(made)
-    assert seen[0]["documents"] == 2 and seen[0]["document_versions"] == 3 and seen[0]["nodes"] == 18 and seen[0]["errors"] == 1
+    assert seen[0]["documents"] == 2 and seen[0]["document_versions"] == 3 and seen[0]["nodes"] == 20 and seen[0]["errors"] == 1
     assert seen[0]["refs"] > 0 and seen[1]["refs"] == 0
     assert seen[0] | {"refs": 0} == seen[1]
-    assert seen[0]["events"] == 8  # both versions of the simple act are open
+    assert seen[0]["events"] == 9  # both versions of the simple act are open
     assert t.read("ingestion_runs").count() == 2 and t.read("raw_files").where("status = 'parsed'").count() == 3
     assert pipeline.latest_versions(t).count() == 2
     assert schemas.too_long(t.read("nodes")).where("n_rows > 0").count() == 0
     tables = ["--tables", f"file://{tmp_path}/t"]
     assert main([*tables, "export-rag", "--output", str(tmp_path / "out")], spark) == 0
     lines = [json.loads(x) for f in (tmp_path / "out").glob("part-*") for x in f.read_text().splitlines()]
-    assert len(lines) == 18 and {"Testo unico", "legge:231:2001"} == {x["source"] for x in lines}
-    for verb in (["stats"], ["search", "base"], ["tree", "dpr:917:1986"], ["backfill-hierarchy"], ["reset"]):
+    assert len(lines) == 20 and {"Regolamento dei mercati", "legge:231:2001"} == {x["source"] for x in lines}
+    for verb in (["stats"], ["search", "base"], ["tree", "reg:12:2009"], ["backfill-hierarchy"], ["reset"]):
         assert main([*tables, *verb], spark) == 0
     assert t.read("nodes").count() == 0 and "articolo" in capsys.readouterr().out
 

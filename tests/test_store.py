@@ -111,6 +111,16 @@ def test_delta_round_trip(a, b):
     assert deltas.apply(a, deltas.build(a, b)) == b
 
 
+def test_deltas_are_small_for_small_changes_of_any_length():
+    words = [f"parola{k}" for k in range(30)] + ["di", "la", ","]
+    rng = random.Random(8)
+    for n in (50, 5_000, 300_000):
+        a = [rng.choice(words) for _ in range(n)] + ["unica"]
+        b = a[: n // 3] + ["nuova", "voce"] + a[n // 3 + 2 :]
+        made = deltas.build(" ".join(a), " ".join(b))
+        assert deltas.apply(" ".join(a), made) == " ".join(b) and len(made) < 80
+
+
 def test_delta_form():
     assert deltas.build("abc", "abc") == "=3" and deltas.build(None, "x\ty") == "+x%09y" and deltas.build("abc", "") == "-3" and deltas.apply("abc", "=1\t-1\t+Z\t=1") == "aZc"
     rng = random.Random(1)
