@@ -37,24 +37,53 @@ def test_pieces_keep_the_limit_and_cut_naturally(seed):
     for limit, overlap in ((2000, 200), (100, 20), (50, 0)):
         got = list(splitting.cut_batch([None, "", *texts], limit, overlap))
         for i, t in enumerate(texts):
-            check(t, [g[1:] for g in got if g[0] == i + 2], limit, overlap)
+            check(t, sorted(g[1:] for g in got if g[0] == i + 2), limit, overlap)
         assert {g[0] for g in got} == set(range(2, len(texts) + 2))
 
 
-def test_ranges_give_the_same_pieces():
+def test_ranges_give_the_same_pieces(monkeypatch):
     rng = random.Random(11)
-    t = text(rng, 60000) + "y" * 7000 + text(rng, 9000)
-    whole = list(splitting.cut_batch([t]))
-    for size in (2500, 5000, 40000):
-        assert list(splitting.cut_batch([t], size=size)) == whole
+    texts = [text(rng, 60000) + "y" * 7000 + text(rng, 9000), text(rng, 2500), "x" * 4001, text(rng, 5000), "z" * 9000 + " ", "kurz"]
+    whole = sorted(splitting.cut_batch(texts, size=10**6))
+    for i, t in enumerate(texts):
+        check(t, [g[1:] for g in whole if g[0] == i], 2000, 200)
+    for size in (2000, 2001, 2500, 5000, 8192, 40000):
+        for buffer in (1, 12_000, 10**6):
+            monkeypatch.setattr(splitting, "BUFFER_CHARS", buffer)
+            assert sorted(splitting.cut_batch(texts, size=size)) == whole
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_pieces_do_not_depend_on_neighbours(seed):
+    rng = random.Random(seed)
+    texts = [rng.choice(["", " ", ". ", "\n", "a"]) + text(rng, rng.choice([1, 2001, 9000])) + rng.choice(["", " ", ".", "\n"]) for _ in range(25)]
+    alone = {i: sorted(g[1:] for g in splitting.cut_batch([t])) for i, t in enumerate(texts)}
+    for _ in range(3):
+        order = rng.sample(range(len(texts)), len(texts))
+        got = list(splitting.cut_batch([texts[i] for i in order]))
+        assert {i: sorted(g[1:] for g in got if g[0] == n) for n, i in enumerate(order)} == alone
+
+
+def test_tables_follow_every_chain():
+    rng = random.Random(3)
+    t = text(rng, 30_000)
+    ranges = splitting._ranges_of(t, 300, 40, 5000)
+    tables = splitting.entry_tables(ranges, 300, 40)
+    assert [len(x) for x, _ in tables] == [1] + [301] * 5
+    for k, (left, made) in enumerate(tables):
+        for entry in rng.sample(range(len(left)), min(len(left), 25)):
+            chain = list(splitting.emitted([ranges[k]], [entry], 300, 40))
+            assert len(chain) == made[entry] and chain[-1][3] - len(ranges[k].own) == left[entry]
+    whole = splitting.composed([(len(r.own), *x) for r, x in zip(ranges, tables, strict=True)])
+    assert whole[0] == 30_000 and whole[1].tolist() == [0] and whole[2][0] == len(list(splitting.cut_batch([t], 300, 40)))
 
 
 def test_sentences_and_paragraphs_are_preferred():
     t = ("Una frase breve che finisce qui. " * 80).strip()
-    (_, _, _, b, _), *_ = splitting.cut_batch([t])
+    (_, _, _, b, _), *_ = sorted(splitting.cut_batch([t]))
     assert t[:b].rstrip().endswith(".")
     p = "riga senza punto " * 90 + "\n\n" + "altra riga " * 200
-    (_, _, _, b, _), *_ = splitting.cut_batch([p])
+    (_, _, _, b, _), *_ = sorted(splitting.cut_batch([p]))
     assert p[:b].endswith("\n\n")
 
 
@@ -67,12 +96,18 @@ def test_giant_files_by_byte_ranges(spark, tmp_path):
         open(paths[-1], "w", encoding="utf-8", newline="").write(t)
     paths.append(str(tmp_path / "empty.txt"))
     open(paths[-1], "w").close()
-    got = splitting.split_files(spark, paths, range_bytes=32_768).orderBy("path", "piece_no").collect()
-    for path, t in zip(paths, texts, strict=False):
-        mine = [r for r in got if r["path"] == path]
-        want = list(splitting.cut_batch([t]))
-        assert [(r["piece_no"], r["start_at"], r["end_at"]) for r in mine] == [(n, a, b) for _, n, a, b, _ in want]
-        assert all(r["piece_text"] == t[r["start_at"] : r["end_at"]] for r in mine)
+    short_end = text(rng, 32_768 - 5) + "w" * 900  # the last range is shorter than a piece
+    texts.append(short_end)
+    paths.append(str(tmp_path / "end.txt"))
+    open(paths[-1], "w", encoding="utf-8", newline="").write(short_end)
+    for fan in (2, 256):
+        got = splitting.split_files(spark, paths, range_bytes=32_768, fan=fan).orderBy("path", "piece_no").collect()
+        for path, t in zip([p for p in paths if "empty" not in p], texts, strict=True):
+            mine = [r for r in got if r["path"] == path]
+            want = sorted(splitting.cut_batch([t]))
+            assert [(r["piece_no"], r["start_at"], r["end_at"]) for r in mine] == [(n, a, b) for _, n, a, b, _ in want]
+            assert all(r["piece_text"] == t[r["start_at"] : r["end_at"]] for r in mine)
+    assert splitting.split_files(spark, [str(tmp_path / "empty.txt")]).count() == 0
 
 
 def test_frames(spark):
