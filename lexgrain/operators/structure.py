@@ -9,6 +9,7 @@ Python; only the openings of comments and the like are visited one by one.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -143,10 +144,17 @@ def index_elements(buf: np.ndarray, bounds: np.ndarray) -> Elements:
     return Elements(frag[starts], at[starts], end[starts], level[starts])
 
 
+@functools.cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, for buffers of up to `size` bytes."""
+    with np.errstate(over="ignore"):
+        up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, x, np.uint64)]), dtype=np.uint64) for x in (_BASE, _INVERSE))
+    return up[1:], down
+
+
 def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Position-independent 64-bit hashes of buf[start:end], from one prefix sum over the buffer."""
+    up, down = _powers(1 << max(16, (len(buf)).bit_length()))
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(len(buf), _BASE, np.uint64), dtype=np.uint64)
-        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * powers, dtype=np.uint64)])
-        back = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(buf), _INVERSE, np.uint64), dtype=np.uint64)])
-        return (prefix[end] - prefix[start]) * back[start]
+        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[: len(buf)], dtype=np.uint64)])
+        return (prefix[end] - prefix[start]) * down[start]
