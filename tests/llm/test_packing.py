@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 
@@ -53,14 +54,57 @@ def test_one_size_is_ranked_in_groups(spark, monkeypatch):
     assert max(steps.values()) <= 1.1 * min(steps.values()) + 100
 
 
+def room(histogram, capacity, tiers=4, nested=True):
+    """Containers of a plan, after checking that every item stands in it once and nothing is overfull."""
+    used, number = defaultdict(list), 0
+    lengths = packing.tier_lengths(capacity, tiers)
+    runs = packing.plan(histogram, capacity, tiers, nested)
+    for run in runs:
+        number += run.number
+        windows = defaultdict(int)
+        for w, t, s, r in run.held:
+            used[s].append((r, r + run.number))
+            windows[w] += s
+            assert s <= lengths[t] and (t == len(lengths) - 1 or s > lengths[t + 1])
+        assert sum(windows.values()) == run.used <= (capacity if nested else lengths[min(t for _, t, *_ in run.held)])
+        if nested:
+            assert all(n <= lengths[min(t for x, t, *_ in run.held if x == w)] for w, n in windows.items())
+    for s, n in histogram.items():
+        spans = sorted(used[s])
+        assert [a for a, _ in spans] == [0, *[b for _, b in spans[:-1]]] and spans[-1][1] == n
+    return number, runs
+
+
 def test_plan_work_depends_on_the_sizes_only():
-    runs = packing.plan({s: 10**9 + s for s in range(1, 2049)}, 2048)
-    assert len(runs) < 60_000
-    used = defaultdict(int)
-    for size, rank, n, *_ in runs:
-        assert rank == used[size]
-        used[size] += n
-    assert used == {s: 10**9 + s for s in range(1, 2049)}
+    histogram = {s: 10**9 + s for s in range(1, 2049)}
+    number, runs = room(histogram, 2048)
+    assert sum(len(r.held) for r in runs) < 200_000
+    assert number <= 1.002 * sum(s * n for s, n in histogram.items()) / 2048
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_tiers_are_packed_in_windows_of_their_own(seed):
+    rng = random.Random(seed)
+    histogram = {rng.randint(1, 512): rng.randint(1, 40) for _ in range(rng.randint(1, 150))}
+    number, _ = room(histogram, 512)
+    assert number <= room(histogram, 512, tiers=1)[0] * 1.03 + 1  # plain best fit decreasing
+    several, runs = room(histogram, 512, nested=False)
+    assert several >= number and len({min(t for _, t, *_ in r.held) for r in runs}) > 1 or len(histogram) < 4
+
+
+def test_gaps_of_long_windows_are_filled_from_shorter_tiers():
+    (run,) = packing.plan({1500: 3, 500: 3, 48: 3}, 2048)
+    assert run.number == 3 and run.used == 2048 and {t for _, t, *_ in run.held} == {0, 2, 3}
+    (pair,) = packing.plan({1000: 4}, 2048)
+    assert pair.number == 2 and [(w, t) for w, t, *_ in pair.held] == [(0, 1), (1, 1)]
+
+
+def test_containers_of_several_lengths(spark):
+    rows = packed(spark, [90, 40, 40, 20, 20, 5], tiers=3, nested=False)
+    lengths = {r["container"]: r["length"] for r in rows}
+    assert sorted(lengths.values(), reverse=True)[0] == 100 and min(lengths.values()) < 100
+    for c, length in lengths.items():
+        assert sum(r["n_tokens"] for r in rows if r["container"] == c) <= length
 
 
 def test_empty_and_null_texts(spark):
@@ -70,9 +114,11 @@ def test_empty_and_null_texts(spark):
     assert packing.pack(packing.sizes(docs.limit(0))).count() == 0
 
 
-def test_long_texts_are_counted_in_parts(monkeypatch):
-    t = "Entro il termine di 45 giorni, l'ente\n\n gestore  provvede.  " * 300
-    whole = packing.token_count(t)
-    monkeypatch.setattr(packing, "PART_CHARS", 97)
-    assert abs(packing.token_count(t) - whole) <= 0.002 * whole
-    assert packing.token_count("x" * 1000) > 0
+def test_long_texts_are_counted_as_a_whole(monkeypatch):
+    enc = packing.encoding(Path(packing.VOCABULARY).read_bytes())
+    t = "Entro il termine di 45 giorni, l'ente\n\n gestore  provvede.  _x_ a 'l è\u00a0si 7 b\t c  " * 300 + "x" * 1000 + " !? " * 50
+    whole = len(enc.encode_ordinary(t))
+    for part in (1, 7, 97, 1000):
+        monkeypatch.setattr(packing, "PART_CHARS", part)
+        assert packing.token_count(t, enc) == whole
+    assert packing.token_count(None, enc) == packing.token_count("", enc) == 0 and packing.token_count("x\ud800y", enc) > 0
