@@ -22,6 +22,12 @@ CASES = [
     ("scrivere a m-x chiocciola mail punto a punto test oppure", [("email", "m-x chiocciola mail punto a punto test")]),
     ("a@uffici\n[punto] a [punto] test", [("email", "a@uffici\n[punto] a [punto] test")]),
     ("Canale: @ufficio_atti, urn:nir:stato:legge:1980;27@originale per", []),
+    ("Il ricorrente Mohamed Khan, residente in; sig. John Smith; Referente: Hans Müller (tel. x)", [("name", "Mohamed Khan"), ("name", "John Smith"), ("name", "Hans Müller")]),
+    ("La sottoscritta Zaira\nBianchi, Kofi Annan e Lin Weiss, nati; presentata da Jane Doe il", [("name", "Zaira\nBianchi"), ("name", "Kofi Annan"), ("name", "Lin Weiss"), ("name", "Jane Doe")]),
+    ("firmato dal dott. Rossi M. e altri; Allegato A. e Sezione B. e", [("name", "Rossi M.")]),
+    ("C.F. MVG MPS 35P52 Y808S; R. Neri; il Tribunale Civile, residente", [("id_number", "MVG MPS 35P52 Y808S"), ("name", "R. Neri")]),
+    ("x" * 400 + "@" + "y.test e /a@b.test e .a@b.test e a.@b.test", [("email", "x" * 400 + "@y.test")]),
+    ("Egidio Fezzuschi\0Noemi Neri", [("name", "Egidio Fezzuschi"), ("name", "Noemi Neri")]),
     (None, []), ("", []), ("   ", []),
 ]
 
@@ -39,12 +45,56 @@ def test_feistel_is_a_permutation_and_its_inverse():
         assert p.feistel(p.feistel(v, n, b"k", b"t"), n, b"k", b"t", back=True) == v
 
 
+def test_many_texts_are_as_each_alone(monkeypatch):
+    texts = [t for t, _ in CASES] * 3
+    alone = {i: p.scan(t) for i, t in enumerate(texts) if p.scan(t)}
+    for size in (1, 300, 10**6):
+        monkeypatch.setattr(p, "TEXT_CHARS", size)
+        assert dict(p.scan_texts(texts)) == alone
+
+
+def test_names_outside_the_list():
+    texts = ["Il ricorrente Egidio Fezzuschi tace.", "sig. De Morlastri Noemi; avv. Ugo Neri", "Sono presenti R. Zucaroni, Noemi Bianchi e Walter D'Arvossini.", "Firmato digitalmente CLELIA NASTAPPI\nIl comma 2"]
+    for t in texts:
+        assert p.scan(t, given=frozenset()) == p.scan(t) != []
+
+
 def test_pseudonyms_keep_the_format_and_link_equal_values():
-    a, b = p.pseudonym("0888 521659", b"k", "phone"), p.pseudonym("(0888) 52-16.59", b"k", "phone")
-    assert [c for c in a if c.isdigit()] == [c for c in b if c.isdigit()] and b[0] == "(" and a[4] == " "
-    assert p.pseudonym(a, b"k", "phone", back=True) == "0888 521659"
-    assert p.pseudonym("0888 521659", b"other", "phone") != a
-    assert p.pseudonym("bglPNR88P29Y144W", b"k", "id").lower() == p.pseudonym("BGL PNR 88P29 Y144W", b"k", "id").replace(" ", "").lower()
+    a, b = p.pseudonym("0888 521659", b"k", "phone"), p.pseudonym("+39 (0888) 52-16.59", b"k", "phone")
+    assert b.startswith("+39 (0") and a[4] == " " and a[0] == "0"
+    assert "".join(c for c in a if c.isdigit()) == "".join(c for c in b if c.isdigit())[2:] != "0888521659"
+    assert p.pseudonym(a, b"k", "phone", back=True) == "0888 521659" and p.pseudonym("0888 521659", b"other", "phone") != a
+    assert p.pseudonym("0039 3996175121", b"k", "phone")[5] == "3"
+    c = p.pseudonym("CY97561bq", b"k", "id_number")
+    assert c[:2].isupper() and c[-2:].islower() and c[2:7].isdigit() and p.pseudonym("cy97561BQ", b"k", "id_number").lower() == c.lower()
+    assert p.pseudonym(c, b"k", "id_number", back=True) == "CY97561bq"
+    assert p.placeholder("Egidio Neri", "name", b"k") == p.placeholder("NERI  Egidio", "name", b"k") != p.placeholder("Egidio Bianchi", "name", b"k")
+
+
+def test_valid_tax_codes_stay_valid():
+    first = "RSSMRA85T10A562"
+    valid = first + p._check_letter(first)
+    assert valid == "RSSMRA85T10A562S"
+    made = p.pseudonym(valid, b"k", "id_number")
+    assert made != valid and p.TAX_CODE.fullmatch(made) and p._check_letter(made[:15]) == made[15]
+    assert p.pseudonym(made, b"k", "id_number", back=True) == valid
+    spaced = p.pseudonym("rss mra 85t10 a562s", b"k", "id_number")
+    assert spaced.replace(" ", "").upper() == made and spaced[3] == " "
+    other = first[:-1] + "N"  # letters for digits: 562 as 56N
+    assert p.pseudonym(other + p._check_letter(other), b"k", "id_number") == made
+    wrong = p.pseudonym(first + "A", b"k", "id_number")  # not valid: permuted sign by sign
+    assert [c.isdigit() for c in wrong] == [c.isdigit() for c in valid] and p.pseudonym(wrong, b"k", "id_number", back=True) == first + "A"
+    seen = {p.pseudonym(x + p._check_letter(x), b"k", "id_number") for x in (f"RSSMRA85{m}{d}A562" for m in "ABCDEHLMPRST" for d in ("01", "31", "41", "71"))}
+    assert len(seen) == 48 and all(x[8] in "ABCDEHLMPRST" and (1 <= int(x[9:11]) <= 31 or 41 <= int(x[9:11]) <= 71) for x in seen)
+
+
+def test_dates_of_birth_become_other_dates():
+    assert [(k, "nato a Roma il 12/01/1974 e il 3/4/2001"[a:b]) for a, b, k in p.scan("nato a Roma il 12/01/1974 e il 3/4/2001", dates=True)] == [("birth_date", "12/01/1974")]
+    assert p.scan("nata il 31/02/1974", dates=True) == [] and p.scan("nata il 12/01/1974") == []
+    a, b = p.pseudonym("12/01/1974", b"k", "birth_date"), p.pseudonym("12 gennaio 1974", b"k", "birth_date")
+    assert p._date(a) == p._date(b) != p._date("12/01/1974") and p.pseudonym(a, b"k", "birth_date", back=True) == "12/01/1974"
+    assert p.pseudonym("12.1.1974", b"k", "birth_date") == a.replace("/", ".")
+    assert "[BIRTH_DATE " in p.redact_text("nata il 12/01/1974.", b"k")
 
 
 def test_redacted_text_keeps_the_rest():
