@@ -1,10 +1,10 @@
 """Processing only new or changed records of a log, exactly once, whatever fails in between.
 
-The log is cut into partitions by a hash of its key; the position in a partition is the arrival time.  A batch
-plan (start and end position per partition) is written ahead of the work.  A run that finds a plan without
-commit replays exactly that plan before it makes a new one.  The sink keeps rows by (key, offset, digest) and
-so takes a replayed row only once.  `Feed` does this run by run, and `feed_runs` drives it through a recorded
-history of runs; `replay_runs` gives the same result in one plan, by a window instead of the log.
+The log is cut into partitions by a hash of its key; the offset in a partition is the arrival time in microseconds.  A
+batch plan (the offsets at which each partition's span starts and ends) is written ahead of the work.  A run that finds
+plans without commit replays exactly those, all in one pass over the log, before it makes a new one.  The sink keeps rows
+by (key, offset, digest) and so takes a replayed row only once.  What keys were last taken up as is compacted now and then,
+so a run reads the last state and the few batches since, not the whole sink.
 
 Defined results: rows without key, digest or arrival time deliver nothing; repeated rows count once; of rows of a
 key with one arrival time the greatest digest counts; content that goes back to an earlier state is a change; an
@@ -13,6 +13,7 @@ empty log or no runs give an empty result.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from collections.abc import Callable
@@ -21,12 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lexgrain.plans.scale import take_bounded
-
 #: Partitions of the log, each with its own offsets.
 LOG_PARTITIONS = 64
-#: Most finished runs whose plan is broadcast; a longer plan is joined by shuffle.
-PLAN_RUNS = 2_000
+#: Batches after which the state is compacted.
+COMPACT = 8
+#: Plans that are made or replayed in one pass.
+BACKLOG = 64
 OPEN_RUN = 0
 
 
@@ -34,9 +35,21 @@ def log_partition(key: Column, partitions: int = LOG_PARTITIONS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
 
 
+def offset_of(at: Column) -> Column:
+    """Microseconds since 1970 of a time without zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, at.cast("timestamp_ntz"))
+
+
 def deliveries(files: DataFrame) -> DataFrame:
-    """raw_id, arrived_at, sha256 of the rows that deliver content."""
-    return files.where((F.col("status") == "new") & F.col("raw_id").isNotNull() & F.col("sha256").isNotNull() & F.col("arrived_at").isNotNull()).select("raw_id", "arrived_at", "sha256")
+    """raw_id, arrived_at, offset, sha256 of the rows that deliver content."""
+    there = (F.col("status") == "new") & F.col("raw_id").isNotNull() & F.col("sha256").isNotNull() & F.col("arrived_at").isNotNull()
+    return files.where(there).select("raw_id", "arrived_at", offset_of(F.col("arrived_at")).alias("offset"), "sha256")
+
+
+def _time(offset: int) -> Column:
+    """The time of an offset, for the scan to skip what lies before or behind."""
+    return F.lit(str(dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=offset))).cast("timestamp_ntz")
 
 
 def finished_runs(runs: DataFrame) -> DataFrame:
@@ -45,50 +58,6 @@ def finished_runs(runs: DataFrame) -> DataFrame:
     return named.where(F.col("ok") & F.col("started_at").isNotNull()).select("run_id", "started_at")
 
 
-def batch_plan(runs: DataFrame, partitions: int = LOG_PARTITIONS) -> DataFrame:
-    """run_id, part, after, until: the span of each log partition that a finished run commits, in order of start.
-
-    A run plans from the offsets committed last up to its start.  A run that does not finish commits nothing, so the
-    next finished run replays its plan and goes on from there.  What follows the last span is left to OPEN_RUN.
-    """
-    order = Window.orderBy("started_at", "run_id")  # a control table: one row per run
-    spans = finished_runs(runs).select("run_id", F.lag("started_at").over(order).alias("after"), F.col("started_at").alias("until"))
-    return spans.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))))
-
-
-def _placed(log: DataFrame, runs: DataFrame) -> DataFrame:
-    """The log with run_id and run_order of the plan span that holds the row's offset (nulls: no run yet).
-
-    Spans are joined by partition and calendar day, so this is an equi-join at any number of runs; the plan is
-    broadcast only when it is known to be that of at most PLAN_RUNS runs.
-    """
-    plan = batch_plan(runs)
-    first = plan.agg(F.to_date(F.min("until")).alias("d")).first()["d"]
-    low = F.lit(first).cast("date")
-    span_days = F.sequence(F.greatest(low, F.to_date(F.coalesce("after", "until"))), F.to_date("until"))
-    spans = plan.select("run_id", F.col("until").alias("run_order"), "part", "after", "until", F.explode(span_days).alias("day"))
-    if take_bounded(finished_runs(runs), PLAN_RUNS) is not None:
-        spans = F.broadcast(spans)
-    at = F.col("arrived_at")
-    placed = log.withColumn("part", log_partition(F.col("raw_id"))).withColumn("day", F.greatest(F.to_date(at), low))
-    held = (at < F.col("s.until")) & (F.col("s.after").isNull() | (at >= F.col("s.after")))
-    same = (F.col("l.part") == F.col("s.part")) & (F.col("l.day") == F.col("s.day"))
-    return placed.alias("l").join(spans.alias("s"), same & held, "left").select("raw_id", "arrived_at", "sha256", "run_id", "run_order")
-
-
-def replay_runs(files: DataFrame, runs: DataFrame) -> DataFrame:
-    """run_id, raw_id: what every finished run of a recorded history takes up, and OPEN_RUN for the next run.
-
-    Per key and run the newest row counts; it is taken up if its digest differs from the one before.  After that
-    reduction a key has at most one row per run, which bounds the window.
-    """
-    placed = _placed(deliveries(files), runs)
-    newest = placed.groupBy("raw_id", "run_order", "run_id").agg(F.max(F.struct("arrived_at", "sha256"))["sha256"].alias("sha256"))
-    before = F.lag("sha256").over(Window.partitionBy("raw_id").orderBy(F.col("run_order").asc_nulls_last()))
-    taken = newest.withColumn("before", before).where(F.col("before").isNull() | (F.col("before") != F.col("sha256")))
-    return taken.select(F.coalesce("run_id", F.lit(OPEN_RUN)).cast("long").alias("run_id"), "raw_id")
-
-
 class Store:
     """Small JSON files and sink folders below a shared folder, through Hadoop's file system API."""
 
@@ -139,89 +108,148 @@ class Store:
 class Feed:
     """Takes new and changed records of a log run by run, exactly once.
 
-    State below `root`: plans/N.json (written ahead), commits/N.json, sink/batch=N (what batch N took up).  A sink
-    folder gets its name by one rename after the work is done, so a plan without commit whose folder is there is
-    whole and only needs its commit; a plan without folder is worked on again.
+    State below `root`: plans/N.json (written ahead), commits/N.json, sink/batch=N (what batch N took up; nothing for an
+    empty batch) and state/N (the last digest of every key after batch N).  A folder gets its name by one rename after the
+    work is done, batch after batch, so a plan without commit whose sink folder is there is whole and only needs its
+    commit; a plan without folder is worked on again.  A state is made of the sink alone, so one that is missing costs
+    time and nothing else.
     """
 
-    SINK = "raw_id long, arrived_at timestamp_ntz, sha256 string"
+    SINK = "raw_id long, offset long, sha256 string"
+
+    def __init__(self, spark: SparkSession, root: str, partitions: int = LOG_PARTITIONS, compact: int = COMPACT) -> None:
+        self.spark, self.partitions, self.compact, self._store = spark, partitions, compact, Store(spark, root)
 
-    def __init__(self, spark: SparkSession, root: str, partitions: int = LOG_PARTITIONS) -> None:
-        self.spark, self.partitions, self._store = spark, partitions, Store(spark, root)
+    def _numbers(self, folder: str) -> list[int]:
+        return [int(n.split(".")[0]) for n in self._store.names(folder)]
 
-    def _last(self, folder: str) -> tuple[int, dict | None]:
-        names = self._store.names(folder)
-        if not names:
-            return -1, None
-        return int(names[-1].split(".")[0]), self._store.load(f"{folder}/{names[-1]}")
+    def pending(self) -> dict[int, dict]:
+        """Plans without commit, in order."""
+        done = max(self._numbers("commits"), default=-1)
+        return {n: self._store.load(f"plans/{n:010d}.json") for n in self._numbers("plans") if n > done}
 
-    def plan(self, log: DataFrame, as_of: str | None) -> tuple[int, dict]:
-        """The batch to work on: the last plan if it was not committed, else a new one.
+    def plan(self, log: DataFrame, times: list[str | None]) -> None:
+        """Write plans ahead, one for each time (ascending; None: after all rows), behind all plans there are.
 
-        A new plan ends, in each partition, at the last row there that arrived before `as_of` (None: at the last row);
-        where nothing is new it ends where it starts.
+        A plan ends, in each partition, at the last row there that arrived before its time; where nothing is new it ends
+        where it starts.  One pass over the log finds the ends of up to BACKLOG plans.
         """
-        done, last = self._last("commits")
-        number, plan = self._last("plans")
-        if number > done:
-            return number, plan
-        after = last["until"] if last else [None] * self.partitions
-        rows = deliveries(log) if as_of is None else deliveries(log).where(F.col("arrived_at") < F.lit(as_of).cast("timestamp_ntz"))
-        ends = rows.groupBy(log_partition(F.col("raw_id"), self.partitions).alias("part")).agg(F.max("arrived_at").cast("string").alias("end"))
-        found = {r["part"]: r["end"] for r in ends.collect()}  # one row per log partition
-        fresh = {"after": after, "until": [max(filter(None, (after[k], found.get(k))), default=None) for k in range(self.partitions)]}
-        self._store.write(f"plans/{done + 1:010d}.json", fresh)
-        return done + 1, fresh
-
-    def taken(self, before: int | None = None) -> DataFrame:
-        """The sink, each key and offset once; only of batches below `before` if that is given."""
-        names = [n for n in self._store.names("sink") if before is None or int(n.split("=")[1]) < before]
-        paths = [f"{self._store.root}/sink/{n}" for n in names]
-        held = self.spark.read.schema(StructType.fromDDL(self.SINK)).parquet(*paths) if paths else self.spark.createDataFrame([], self.SINK)
-        return held.dropDuplicates(["raw_id", "arrived_at", "sha256"])
-
-    def batch(self, log: DataFrame, number: int, plan: dict) -> DataFrame:
-        """Rows of the planned span that differ from what earlier batches last took up for their key."""
-        part = log_partition(F.col("raw_id"), self.partitions)
-        spans = F.create_map(*[x for k in range(self.partitions) for x in (F.lit(k), F.struct(F.lit(plan["after"][k]).cast("timestamp_ntz").alias("after"), F.lit(plan["until"][k]).cast("timestamp_ntz").alias("until")))])
-        span, at = spans[part], F.col("arrived_at")
-        rows = deliveries(log).where((at <= span["until"]) & (span["after"].isNull() | (at > span["after"])))
-        newest = rows.groupBy("raw_id").agg(F.max(F.struct("arrived_at", "sha256")).alias("n")).select("raw_id", "n.*")
-        last = self.taken(number).groupBy("raw_id").agg(F.max(F.struct("arrived_at", "sha256"))["sha256"].alias("held"))
-        return newest.join(last, "raw_id", "left").where(F.col("held").isNull() | (F.col("held") != F.col("sha256"))).drop("held")
+        numbers = self._numbers("plans")
+        number = max(numbers, default=-1) + 1
+        after = self._store.load(f"plans/{numbers[-1]:010d}.json")["until"] if numbers else [None] * self.partitions
+        for k in range(0, len(times), BACKLOG):
+            some = times[k : k + BACKLOG]
+            bounds = F.array(*[offset_of(F.lit(t)) if t else F.lit(2**63 - 1) for t in some])
+            turn = F.size(F.filter(bounds, lambda b: b <= F.col("offset")))  # the first plan whose time is after the row
+            rows = self._span(log, after, None).groupBy(log_partition(F.col("raw_id"), self.partitions).alias("part"), turn.alias("turn"))
+            found = {(r["part"], r["turn"]): r["end"] for r in rows.agg(F.max("offset").alias("end")).collect()}  # partitions x plans
+            for turn_ in range(len(some)):
+                until = [max((x for x in (after[p], found.get((p, turn_))) if x is not None), default=None) for p in range(self.partitions)]
+                self._store.write(f"plans/{number:010d}.json", {"after": after, "until": until})
+                after, number = until, number + 1
+
+    def _span(self, log: DataFrame, after: list[int | None], until: list[int | None] | None) -> DataFrame:
+        """Deliveries of which some partition may want more: behind the least start, up to the greatest end."""
+        rows = deliveries(log)
+        if None not in after:
+            rows = rows.where((F.col("offset") > min(after)) & (F.col("arrived_at") >= _time(min(after))))
+        if until is not None:
+            last = max((x for x in until if x is not None), default=None)
+            rows = rows.where(F.lit(False)) if last is None else rows.where((F.col("offset") <= last) & (F.col("arrived_at") <= _time(last)))
+        return rows
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        whole = [f"{self._store.root}/{p}" for p in paths]
+        return self.spark.read.schema(StructType.fromDDL(self.SINK)).parquet(*whole) if whole else self.spark.createDataFrame([], self.SINK)
+
+    def _batches_of(self, low: int, high: int | None) -> list[str]:
+        """Sink folders of the batches from `low` on and below `high`."""
+        numbers = {n: int(n.split("=")[1]) for n in self._store.names("sink")}
+        return [f"sink/{n}" for n, k in numbers.items() if low <= k and (high is None or k < high)]
+
+    def taken(self) -> DataFrame:
+        """The sink, each key, offset and digest once."""
+        return self._read(self._batches_of(0, None)).distinct()
+
+    def held(self, before: int) -> DataFrame:
+        """raw_id, offset, sha256 last taken up for every key by the batches below `before`."""
+        states = [n for n in self._store.names("state") if int(n) < before]
+        since = self._read(self._batches_of(int(states[-1]) + 1 if states else 0, before) + ([f"state/{states[-1]}"] if states else []))
+        return since.groupBy("raw_id").agg(F.max(F.struct("offset", "sha256")).alias("n")).select("raw_id", "n.*")
+
+    def taking(self, log: DataFrame, plans: dict[int, dict]) -> DataFrame:
+        """SINK and batch of the rows in the spans of consecutive plans that differ from what was taken up for their key before.
+
+        Per key and batch the newest row counts; it is compared with that of the batch before, or with the state.
+        """
+        first, last = plans[min(plans)], plans[max(plans)]
+        low = -(2**63)
+        ends = [[low if p["until"][k] is None else p["until"][k] for p in plans.values()] for k in range(self.partitions)]
+        spans = self.spark.createDataFrame([(k, low if first["after"][k] is None else first["after"][k], ends[k]) for k in range(self.partitions)], "part int, after long, ends array<long>")
+        rows = self._span(log, first["after"], last["until"]).withColumn("part", log_partition(F.col("raw_id"), self.partitions))
+        within = rows.join(F.broadcast(spans), "part").where((F.col("offset") > F.col("after")) & (F.col("offset") <= F.element_at("ends", -1)))  # one row per log partition
+        turn = F.size(F.filter("ends", lambda e: e < F.col("offset")))
+        newest = within.groupBy("raw_id", (turn + min(plans)).cast("long").alias("batch")).agg(F.max(F.struct("offset", "sha256")).alias("n")).select("raw_id", "batch", "n.*")
+        both = newest.unionByName(self.held(min(plans)).withColumn("batch", F.lit(-1).cast("long")))
+        before = F.lag("sha256").over(Window.partitionBy("raw_id").orderBy("batch"))  # one row per key and batch
+        return both.withColumn("before", before).where((F.col("batch") >= 0) & (F.col("before").isNull() | (F.col("before") != F.col("sha256")))).drop("before")
 
     def batches(self) -> DataFrame:
         """raw_id and the number of the batch that took it up, for every row of the sink."""
+        if not self._store.names("sink"):
+            return self.spark.createDataFrame([], "raw_id long, batch long")
         held = self.spark.read.schema(StructType.fromDDL(f"{self.SINK}, batch long")).parquet(f"{self._store.root}/sink")
-        return held.groupBy("raw_id", "arrived_at", "sha256").agg(F.min("batch").alias("batch")).select("raw_id", "batch")
+        return held.groupBy("raw_id", "offset", "sha256").agg(F.min("batch").alias("batch")).select("raw_id", "batch")
 
-    def run(self, log: DataFrame, as_of: str | None, work: Callable[[DataFrame], object] | None = None) -> int:
-        """Plan, take up, work, commit; returns the batch number.  An exception leaves the plan to be replayed.
+    def replay(self, log: DataFrame, work: Callable[[DataFrame], object] | None = None) -> int:
+        """Take up, work, commit, batch by batch, for all plans without commit; returns the number of the last one.
 
-        A replay works again unless the batch is in the sink already: then its work was done.
+        An exception leaves the rest to be replayed.  A batch that is in the sink already was worked on and is only
+        committed.
         """
-        number, plan = self.plan(log, as_of)
-        name = f"sink/batch={number:010d}"
-        staged = f"staged/{number:010d}"
+        plans = self.pending()
+        while plans:
+            sunk = {int(n.split("=")[1]) for n in self._store.names("sink")}
+            todo = dict([x for x in plans.items() if x[0] not in sunk][:BACKLOG])
+            staged = f"staged/{min(todo):010d}" if todo else ""
+            if todo:
+                self.taking(log, todo).repartition("batch", "raw_id").write.mode("overwrite").partitionBy("batch").parquet(f"{self._store.root}/{staged}")
+            for number in [n for n in plans if n in todo or n in sunk]:
+                own = f"{staged}/batch={number}"
+                if number in todo and self._store.exists(own):
+                    if work:
+                        work(self._read([own]))
+                    self._store.move(own, f"sink/batch={number:010d}")
+                self._store.write(f"commits/{number:010d}.json", plans.pop(number))
+        done = max(self._numbers("commits"), default=-1)
+        if done - max((int(n) for n in self._store.names("state")), default=-1) >= self.compact:
+            self.compacted(done)
+        return done
+
+    def run(self, log: DataFrame, as_of: str | None, work: Callable[[DataFrame], object] | None = None) -> int:
+        """Replay what is planned, else plan a batch up to `as_of` and take it up; returns the number of the last batch."""
+        if not self.pending():
+            self.plan(log, [as_of])
+        return self.replay(log, work)
+
+    def compacted(self, number: int) -> None:
+        """Write the state after a batch."""
+        name, staged = f"state/{number:010d}", f"staged/state-{number:010d}"
         if not self._store.exists(name):
-            self.batch(log, number, plan).write.mode("overwrite").parquet(f"{self._store.root}/{staged}")
-            if work:
-                work(self.spark.read.parquet(f"{self._store.root}/{staged}"))
+            self.held(number + 1).write.mode("overwrite").parquet(f"{self._store.root}/{staged}")
             self._store.move(staged, name)
-        self._store.write(f"commits/{number:010d}.json", plan)
-        return number
 
 
 def feed_runs(files: DataFrame, runs: DataFrame, root: str, partitions: int = LOG_PARTITIONS) -> DataFrame:
     """run_id, raw_id: what every finished run takes up, and OPEN_RUN for the next one, by a Feed below the new folder `root`.
 
     One batch per finished run, in order of start; a run that did not finish commits nothing, so it has no batch and
-    the next one goes on from the offsets committed last.
+    the next one goes on from the offsets committed last.  All are planned ahead, and then replayed as a feed does that
+    comes back after it was away for that long.
     """
-    feed, ran = Feed(files.sparkSession, root, partitions), []
-    for r in finished_runs(runs).select("run_id", "started_at", F.col("started_at").cast("string").alias("as_of")).orderBy("started_at", "run_id").collect():
-        feed.run(files, r["as_of"])
-        ran.append(r["run_id"])
-    feed.run(files, None)
-    run = F.array(*[F.lit(x).cast("long") for x in [*ran, OPEN_RUN]])
+    feed = Feed(files.sparkSession, root, partitions)
+    ran = finished_runs(runs).select("run_id", "started_at", F.col("started_at").cast("string").alias("as_of")).orderBy("started_at", "run_id").collect()
+    feed.plan(files, [*[r["as_of"] for r in ran], None])
+    feed.replay(files)
+    run = F.array(*[F.lit(x).cast("long") for x in [*[r["run_id"] for r in ran], OPEN_RUN]])
     return feed.batches().select(F.get(run, F.col("batch").cast("int")).alias("run_id"), "raw_id")
