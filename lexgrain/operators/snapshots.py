@@ -45,49 +45,56 @@ def text_digest(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([one(s) for s in batch], dtype="int64")
 
 
+#: Columns that stand for the entity: 128 bits of hashes of its id.  Ids are long strings that no result shows.
+ENTITY = ["entity_a", "entity_b"]
+
+
 def keyed_digests(rows: DataFrame) -> DataFrame:
-    """doc_id, version_id, canonical_path, digest: the row that counts for every (snapshot, key).
+    """ENTITY, version_id, canonical_path, digest: the row that counts for every (snapshot, key).
 
-    Texts become digests before the shuffle, so it moves 8 bytes a text.
+    Texts become digests and ids hashes before the shuffle, so it moves 8 bytes a text and 16 an id.
     """
-    listed = rows.select("doc_id", "version_id", "canonical_path", "loaded_at", "text_content")
-    picked = listed.withColumn("digest", text_digest("text_content")).drop("text_content")
-    last = picked.where(F.col("version_id").isNotNull() & F.col("canonical_path").isNotNull()).groupBy("doc_id", "version_id", "canonical_path")
+    listed = rows.where(F.col("version_id").isNotNull() & F.col("canonical_path").isNotNull()).select("doc_id", "version_id", "canonical_path", "loaded_at", "text_content")
+    named = listed.withColumns(dict(zip(ENTITY, (F.xxhash64("doc_id"), F.xxhash64(F.lit("second"), "doc_id")), strict=True)))
+    picked = named.select(*ENTITY, "version_id", "canonical_path", "loaded_at", text_digest("text_content").alias("digest"))
+    last = picked.groupBy(*ENTITY, "version_id", "canonical_path")
     return last.agg(F.max(F.struct("loaded_at", "digest"))["digest"].alias("digest"))
 
 
 def _leaf(depth: Column) -> Column:
     """Number of the hash range of a key: the top depth * STEP_BITS bits of 24 bits of its hash."""
     bits = F.pmod(F.xxhash64("canonical_path"), F.lit(2 ** (STEP_BITS * MAX_LEVEL)))
-    return F.floor(bits / F.pow(F.lit(2), F.lit(MAX_LEVEL) * STEP_BITS - depth * STEP_BITS)).cast("long")
+    return F.floor(bits / F.pow(F.lit(2), F.lit(MAX_LEVEL) * STEP_BITS - depth * STEP_BITS)).cast("int")
+
+
+def _digest(row_hash: Column, weight: Column | int = 1) -> list[Column]:
+    """Digest of a set of rows: exclusive or, and a sum that tells what the exclusive or does not; both add up over subsets."""
+    return [F.bit_xor(row_hash).alias("x"), F.sum(F.shiftrightunsigned(row_hash, 24) * weight).alias("s"), F.sum(F.lit(1) * weight).alias("n")]
 
 
 def _pairs(keyed: DataFrame) -> DataFrame:
-    """doc_id, version_id, pair, side, depth: the two sides of every pair of neighbours whose root digests differ.
+    """ENTITY, version_id, pair, side, depth: the two sides of every pair of neighbours whose root digests differ.
 
     pair is the newer snapshot; side is 1 for it and -1 for the older one.
     """
-    row_hash = F.xxhash64("canonical_path", "digest")
-    roots = keyed.groupBy("doc_id", "version_id").agg(F.bit_xor(row_hash).alias("x"), F.sum(row_hash.cast("decimal(20,0)")).alias("s"), F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy(F.col("doc_id")).orderBy("version_id")
+    roots = keyed.groupBy(*ENTITY, "version_id").agg(*_digest(F.xxhash64("canonical_path", "digest")))
+    order = Window.partitionBy(*ENTITY).orderBy("version_id")
     digest = F.struct("x", "s", "n")
     depth = F.greatest(F.lit(0), F.least(F.lit(MAX_LEVEL), F.ceil(F.log2(F.greatest(F.col("n"), F.col("older_n")) / LEAF_ROWS) / STEP_BITS)))
     beside = roots.select("*", F.lag("version_id").over(order).alias("older"), F.lag(digest).over(order).alias("older_digest"), F.lag("n").over(order).alias("older_n"))
     differ = beside.where(F.col("older").isNotNull() & (digest != F.col("older_digest"))).withColumn("depth", depth.cast("int"))
     side = lambda version, sign: F.struct(F.col(version).alias("version_id"), F.col("version_id").alias("pair"), F.lit(sign).alias("side"), F.col("depth").alias("depth"))
-    return differ.select("doc_id", F.explode(F.array(side("version_id", 1), side("older", -1))).alias("p")).select("doc_id", "p.*")
+    return differ.select(*ENTITY, F.explode(F.array(side("version_id", 1), side("older", -1))).alias("p")).select(*ENTITY, "p.*")
 
 
 def changes(rows: DataFrame) -> DataFrame:
     """version_id, canonical_path, change_kind (added, removed, changed) between neighbouring snapshots of a doc_id."""
     keyed = keyed_digests(rows)
-    held = F.col("k.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("k.version_id") == F.col("p.version_id"))
-    sides = keyed.alias("k").join(_pairs(keyed).alias("p"), held).select("k.doc_id", "pair", "side", "canonical_path", "digest", _leaf(F.col("depth")).alias("leaf"))
-    row_hash = F.xxhash64("canonical_path", "digest")
-    leaves = sides.groupBy("doc_id", "pair", "leaf").agg(F.bit_xor(row_hash).alias("x"), F.sum(row_hash.cast("decimal(20,0)") * F.col("side")).alias("s"), F.sum("side").alias("c"))
-    differ = leaves.where((F.col("x") != 0) | (F.col("s") != 0) | (F.col("c") != 0)).select(F.col("doc_id").alias("d"), F.col("pair").alias("q"), F.col("leaf").alias("l"))
-    inside = sides.join(differ, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("pair") == F.col("q")) & (F.col("leaf") == F.col("l")), "left_semi")
-    both = inside.groupBy("doc_id", "pair", "leaf", "canonical_path").agg(
+    sides = keyed.join(_pairs(keyed), [*ENTITY, "version_id"]).select(*ENTITY, "pair", "side", "canonical_path", "digest", _leaf(F.col("depth")).alias("leaf"))
+    leaves = sides.groupBy(*ENTITY, "pair", "leaf").agg(*_digest(F.xxhash64("canonical_path", "digest"), F.col("side")))
+    differ = leaves.where((F.col("x") != 0) | (F.col("s") != 0) | (F.col("n") != 0)).select(*ENTITY, "pair", "leaf")
+    inside = sides.join(differ, [*ENTITY, "pair", "leaf"], "left_semi")
+    both = inside.groupBy(*ENTITY, "pair", "leaf", "canonical_path").agg(
         F.max(F.when(F.col("side") == 1, F.col("digest"))).alias("new"), F.max(F.when(F.col("side") == -1, F.col("digest"))).alias("old")
     )
     kind = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(F.col("old") != F.col("new"), "changed")
