@@ -32,18 +32,18 @@ AKN = r"(?i)/akn/[a-z]{2}/(act|bill|doc)/([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})/(\d
 PIVOT = 50
 
 
-def relation(text: Column) -> Column:
+def relation(text: Column, relations: list[tuple[str, str]] = RELATIONS) -> Column:
     """Relation type of a whole text; CITES if nothing says otherwise."""
     out = F.lit("CITES")
-    for name, form in reversed(RELATIONS):
+    for name, form in reversed(relations):
         out = F.when(text.rlike(f"(?i){form}"), name).otherwise(out)
     return out
 
 
-def alias_target(text: Column) -> Column:
+def alias_target(text: Column, aliases: dict[str, str] = ALIASES) -> Column:
     """Act named by the first alias of the list that the text holds, else null."""
     low, out = F.lower(text), F.lit(None).cast("string")
-    for alias, target in reversed(ALIASES.items()):
+    for alias, target in reversed(aliases.items()):
         out = F.when(F.contains(low, F.lit(alias.lower())), target).otherwise(out)
     return out
 
@@ -101,7 +101,7 @@ def nir_parts(urn: Column) -> dict[str, Column]:
     return {"doc_type": part(1), "act_year": part(2).cast("int"), "number": F.try_to_number(part(3), F.lit("9" * 18)).cast("long")}
 
 
-def resolve(match: Column, around: Column, own_act: Column, strict_reference: bool = True) -> Column:
+def resolve(match: Column, around: Column, own_act: Column, strict_reference: bool = True, aliases: dict[str, str] = ALIASES) -> Column:
     """STRUCT<urn, score, method> of a citation: explicit URN, law in the text, alias, article of the own act, else unresolved."""
     both = F.trim(F.concat_ws(" ", match, around))
     law = law_urn(both) if strict_reference else F.coalesce(law_urn(match, False), law_urn(around, False))
@@ -118,4 +118,4 @@ def resolve(match: Column, around: Column, own_act: Column, strict_reference: bo
         )
 
     named = zip(article_parts(match), ("article", "comma", "letter", "number"), strict=True)
-    return let(F.struct(law.alias("law"), alias_target(both).alias("alias"), *[c.alias(n) for c, n in named]), chosen)
+    return let(F.struct(law.alias("law"), alias_target(both, aliases).alias("alias"), *[c.alias(n) for c, n in named]), chosen)

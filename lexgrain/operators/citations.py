@@ -7,6 +7,7 @@ matches and the matches themselves have cumulative lengths that are the offsets.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,15 @@ ACTS = [
 ]
 #: An article citation within so many characters of an act raises its confidence.
 NEAR = 80
+@dataclass(frozen=True)
+class Patterns:
+    """What is taken for a citation: aliases of acts, forms of act citations, phrases of relation types."""
+
+    aliases: dict[str, str] = field(default_factory=lambda: dict(urn.ALIASES))
+    acts: tuple[tuple[str, str], ...] = tuple(ACTS)
+    relations: tuple[tuple[str, str], ...] = tuple(urn.RELATIONS)
+
+
 REFERENCE = (
     "struct<kind:int,start:int,match_text:string,raw_snippet:string,target_canonical_doc:string,target_article:string,target_comma:string,"
     "target_letter:string,target_number:string,confidence:double,method:string>"
@@ -64,17 +74,17 @@ def _act_at(c: Column, k: int, kind: str) -> Callable[[Column], Column]:
     return made
 
 
-def found_references(c: Column) -> Column:
+def found_references(c: Column, patterns: Patterns = Patterns()) -> Column:  # noqa: B008
     """ARRAY of references in a text: aliases, then acts by form and place, then articles by place."""
     out = []
-    for k, (alias, target) in enumerate(urn.ALIASES.items()):
+    for k, (alias, target) in enumerate(patterns.aliases.items()):
         at = F.instr(F.lower(c), alias.lower()) - 1
         one = F.array(_reference(k, at, F.lit(alias), text.snippet(c, at), F.lit(target), F.lit(0.6), "alias:v1"))
         out.append(F.when(at >= 0, one).otherwise(F.array().cast(f"array<{REFERENCE}>")))
-    for k, (kind, form) in enumerate(ACTS, len(urn.ALIASES)):
+    for k, (kind, form) in enumerate(patterns.acts, len(patterns.aliases)):
         out.append(F.transform(places(c, form, 2), _act_at(c, k, kind)))
     articles = places(c, urn.ARTICLE, 4)
-    last = len(urn.ALIASES) + len(ACTS)
+    last = len(patterns.aliases) + len(patterns.acts)
     out.append(
         F.transform(
             articles,
@@ -84,12 +94,15 @@ def found_references(c: Column) -> Column:
     return F.concat(*out)
 
 
-def extract(nodes: DataFrame, text_col: str = "text_content", key: str = "node_id") -> DataFrame:
-    """key, ordinal and the columns of each reference found in a text, with the relation type of the whole text."""
+def extract(nodes: DataFrame, text_col: str = "text_content", key: str = "node_id", patterns: Patterns = Patterns(), keep: tuple[str, ...] = ()) -> DataFrame:  # noqa: B008
+    """key, ordinal and the columns of each reference found in a text, with the relation type of the whole text.
+
+    The columns of `keep` come along.
+    """
     c = F.coalesce(F.col(text_col), F.lit(""))
-    nodes = spread(nodes.select(*dict.fromkeys([key, *(["doc_id"] if "doc_id" in nodes.columns else []), text_col])), key, text_col)
-    found = nodes.select(*dict.fromkeys([key, "doc_id"] if "doc_id" in nodes.columns else [key]), F.posexplode(found_references(c)).alias("ordinal", "r"), urn.relation(c).alias("relation_type"))
-    keys = [k for k in (key, "doc_id") if k in found.columns]
+    keys = list(dict.fromkeys([key, *(["doc_id"] if "doc_id" in nodes.columns else []), *keep]))
+    nodes = spread(nodes.select(*dict.fromkeys([*keys, text_col])), key, text_col)
+    found = nodes.select(*keys, F.posexplode(found_references(c, patterns)).alias("ordinal", "r"), urn.relation(c, list(patterns.relations)).alias("relation_type"))
     fields = [f for f in ("start", "match_text", "raw_snippet", "target_canonical_doc", "target_article", "target_comma", "target_letter", "target_number", "confidence", "method")]
     return found.select(*dict.fromkeys(keys), "ordinal", *[F.col(f"r.{f}").alias(f) for f in fields], "relation_type")
 
@@ -99,19 +112,19 @@ def extract_text(spark, value: str) -> DataFrame:  # noqa: ANN001
     return extract(spark.createDataFrame([("", value)], "node_id string, text_content string")).drop("node_id")
 
 
-def extraction_job(nodes: DataFrame, acts: DataFrame, existing: DataFrame | None = None, strict_reference: bool = True, dedup_within_run: bool = False) -> DataFrame:
+def extraction_job(nodes: DataFrame, acts: DataFrame, existing: DataFrame | None = None, strict_reference: bool = True, dedup_within_run: bool = False, patterns: Patterns = Patterns(), keep: tuple[str, ...] = ()) -> DataFrame:  # noqa: B008
     """References of all nodes with their resolved URN, score and method.
 
     A reference that `existing` already holds (same source, text and relation) is left out; within one run repeats
     are kept unless `dedup_within_run`.  Acts are one row each and joined by key; Catalyst picks the join.
     """
-    found = extract(nodes).where(F.col("match_text") != "").join(acts.select("doc_id", "canonical_doc"), "doc_id", "left")
-    solved = found.withColumn("u", urn.resolve(F.col("match_text"), F.col("raw_snippet"), F.col("canonical_doc"), strict_reference))
+    found = extract(nodes, patterns=patterns, keep=keep).where(F.col("match_text") != "").join(acts.select("doc_id", "canonical_doc"), "doc_id", "left")
+    solved = found.withColumn("u", urn.resolve(F.col("match_text"), F.col("raw_snippet"), F.col("canonical_doc"), strict_reference, patterns.aliases))
     out = solved.select(
         F.col("node_id").alias("source_node_id"), "doc_id", "ordinal", "raw_snippet", "match_text", "relation_type",
         F.coalesce("target_canonical_doc", "u.urn").alias("target_canonical_doc"), "target_article", "target_comma", "target_letter", "target_number",
         F.when(F.col("target_article").isNotNull() & F.col("target_canonical_doc").isNotNull(), ids.node_ref(F.col("target_canonical_doc"), *[F.col(f"target_{p}") for p in ("article", "comma", "letter", "number")])).alias("target_canonical_node"),
-        "confidence", "method", F.col("u.urn").alias("resolved_urn"), F.col("u.score").alias("confidence_score"), F.col("u.method").alias("resolution_method"),
+        "confidence", "method", F.col("u.urn").alias("resolved_urn"), F.col("u.score").alias("confidence_score"), F.col("u.method").alias("resolution_method"), *keep,
     )
     key = ["source_node_id", "match_text", "relation_type"]
     if dedup_within_run:
@@ -125,12 +138,13 @@ def resolution_log(job: DataFrame) -> DataFrame:
     return job.select(F.col("match_text").alias("original_text"), "resolved_urn", "confidence_score", "resolution_method", F.col("doc_id").alias("document_id"))
 
 
-def resolution_job(references: DataFrame, nodes: DataFrame, normalize_fragment: bool = False, acts: DataFrame | None = None) -> DataFrame:
+def resolution_job(references: DataFrame, nodes: DataFrame, acts: DataFrame | None, normalize_fragment: bool = False) -> DataFrame:
     """source_node_id, target_canonical_node, relation_type, target_node_id, confidence: the edges of the citation graph.
 
     The part of a target after # (or all of it) is looked up as a path; of several nodes with that path the one of
     the lowest version and id counts.  The first reference (by ref_id) of each (source, target, relation) stands.
-    With `acts` (doc_id, canonical_doc; one row each) the path of a target with # is sought in the act before # only.
+    The path of a target with # is sought in the act before # only (`acts`: doc_id, canonical_doc, one row each); without
+    acts (None) it is sought in any act, as is a path that names none.
     """
     target = text.strip(F.coalesce("target_canonical_node", "target_canonical_doc", F.lit("")))
     named = references.withColumn("target", target).where("target <> ''")

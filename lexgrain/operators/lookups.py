@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,10 +59,14 @@ def tree(acts: DataFrame, versions: DataFrame, nodes: DataFrame, canonical_doc:
     return nodes.join(one, "version_id", "left_semi").withColumn("sort_key", F.translate("canonical_path", "/", "_")).orderBy("sort_key", "node_id")
 
 
-def node_with_references(nodes: DataFrame, references: DataFrame) -> DataFrame:
-    """Nodes with the array of their extracted references (sets of small structs of one node)."""
+def node_with_references(nodes: DataFrame, references: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
+    """Nodes with the arrays of their extracted and, if given, resolved references (sets of small structs of one node)."""
     listed = references.groupBy(F.col("source_node_id").alias("node_id")).agg(F.array_sort(F.collect_set(F.struct("ref_id", "destination_urn", "relation_type"))).alias("refs"))
-    return nodes.join(listed, "node_id", "left")
+    found = nodes.join(listed, "node_id", "left")
+    if resolved is None:
+        return found
+    edges = resolved.groupBy(F.col("source_node_id").alias("node_id")).agg(F.array_sort(F.collect_set(F.struct("target_canonical_node", "relation_type", "target_node_id", "confidence"))).alias("resolved"))
+    return found.join(edges, "node_id", "left")
 
 
 def search_like(rows: DataFrame, text_col: str, q: str) -> DataFrame:
@@ -73,17 +79,26 @@ def tokens(c: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"(?U)\W+"), lambda t: t != ""))
 
 
-def build_index(rows: DataFrame, key: str, text_col: str) -> DataFrame:
-    """Token table of a full-text index: token, key."""
-    return rows.select(F.explode(tokens(F.col(text_col))).alias("token"), key)
+#: Folders of a stored full-text index.
+BUCKETS = 64
+
+
+def _bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
 
+def build_index(rows: DataFrame, key: str, text_col: str, buckets: int = BUCKETS) -> DataFrame:
+    """Token table of a full-text index: token, key, bucket.  Written with partitionBy("bucket"), a search reads few folders of it."""
+    return rows.select(F.explode(tokens(F.col(text_col))).alias("token"), key).distinct().withColumn("bucket", _bucket(F.col("token"), buckets))
 
-def search_index(index: DataFrame, key: str, q: str) -> DataFrame:
-    """Keys whose text has all words of q."""
-    import re
 
+def search_index(index: DataFrame, key: str, q: str, buckets: int = BUCKETS) -> DataFrame:
+    """Keys whose text has all words of q; no word, no key.  Only the folders of these words are read."""
     wanted = sorted(set(re.findall(r"\w+", q.lower())))
-    hits = index.where(F.col("token").isin(wanted)).groupBy(key).agg(F.count_distinct("token").alias("n"))
+    if not wanted:
+        return index.select(key).limit(0)
+    folders = [r[0] for r in index.sparkSession.createDataFrame([(w,) for w in wanted], "w string").select(_bucket(F.col("w"), buckets)).collect()]
+    hits = index.where(F.col("bucket").isin(folders) & F.col("token").isin(wanted)).groupBy(key).agg(F.count_distinct("token").alias("n"))
     return hits.where(F.col("n") == len(wanted)).select(key)
 
 

@@ -69,7 +69,7 @@ def _leaf(depth: Column) -> Column:
 
 def _digest(row_hash: Column, weight: Column | int = 1) -> list[Column]:
     """Digest of a set of rows: exclusive or, and a sum that tells what the exclusive or does not; both add up over subsets."""
-    return [F.bit_xor(row_hash).alias("x"), F.sum(F.shiftrightunsigned(row_hash, 24) * weight).alias("s"), F.sum(F.lit(1) * weight).alias("n")]
+    return [F.bit_xor(row_hash).alias("x"), F.sum(F.shiftrightunsigned(row_hash, 34) * weight).alias("s"), F.sum(F.lit(1) * weight).alias("n")]
 
 
 def _pairs(keyed: DataFrame) -> DataFrame:

@@ -85,7 +85,23 @@ dst AS (SELECT d.ref_id, d.created_at, 'destination_urn' AS ref_field, CASE WHEN
 bad AS (SELECT DISTINCT * FROM (SELECT * FROM src UNION ALL SELECT * FROM dst) WHERE cause IS NOT NULL)
 """
 
+_WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+# Enclosing nodes by comparing all pairs of a record whose paths allow it: whole fragments that hold one another, else texts.
+_P1 = rf"""
+WITH rec AS (SELECT row_number() OVER () AS rid, * FROM (SELECT DISTINCT parse_id, nodes FROM parsed_acts)),
+node AS (SELECT rid, parse_id, CAST(i - 1 AS INTEGER) AS pos, nodes[i].canonical_path AS p, regexp_replace(coalesce(nodes[i].text_content, ''), '{_WS}', '', 'g') AS t, coalesce(nodes[i].text_xml_fragment, '') AS f, nodes[i].refs AS refs
+  FROM (SELECT rid, parse_id, nodes, unnest(range(1, len(nodes) + 1)) AS i FROM rec)),
+kept AS (SELECT *, count(*) OVER (PARTITION BY rid, p) AS times, regexp_extract(f, '^\s*<(\w+)', 1) <> '' AND regexp_extract(f, '^\s*<(\w+)', 1) = regexp_extract(f, '</(\w+)>\s*$', 1)
+  AND len(regexp_extract_all(f, '<[a-zA-Z]')) = len(regexp_extract_all(f, '</')) + len(regexp_extract_all(f, '/>')) AS whole FROM node),
+ord AS (SELECT rid, max(times) FILTER (p <> '') > 1 AS ordered FROM kept GROUP BY rid),
+near AS (SELECT c.rid, c.pos, a.p AS ap, CASE WHEN o.ordered THEN max(a.pos) ELSE min(a.pos) END AS apos FROM kept c JOIN ord o USING (rid) JOIN kept a ON a.rid = c.rid AND a.p <> '' AND starts_with(c.p, a.p || '/') AND (NOT coalesce(o.ordered, false) OR a.pos < c.pos) GROUP BY c.rid, c.pos, a.p, o.ordered),
+enc AS (SELECT n.rid, n.pos, arg_max(n.apos, length(n.ap)) AS parent FROM near n JOIN kept c ON c.rid = n.rid AND c.pos = n.pos JOIN kept a ON a.rid = n.rid AND a.pos = n.apos
+  WHERE CASE WHEN c.whole AND a.whole THEN contains(a.f, trim(c.f)) ELSE a.t = '' OR contains(a.t, c.t) END GROUP BY n.rid, n.pos)
+SELECT DISTINCT c.parse_id, 'node' AS child_kind, c.pos AS child_pos, CAST(coalesce(e.parent, -1) AS INTEGER) AS parent_pos FROM kept c LEFT JOIN enc e ON e.rid = c.rid AND e.pos = c.pos
+UNION SELECT DISTINCT parse_id, 'ref', CAST(j - 1 AS INTEGER), pos FROM (SELECT parse_id, pos, refs, unnest(range(1, len(refs) + 1)) AS j FROM kept) WHERE coalesce(refs[j].href, '') <> '' OR coalesce(refs[j]."text", '') <> ''"""
+
 ORACLES = {
+    "p1_found": _P1,
     "p1_nodes": """SELECT DISTINCT parse_id, CAST(i - 1 AS INTEGER) AS node_pos, nodes[i].eid AS eid, nodes[i].canonical_path AS canonical_path, nodes[i].level AS level,
         CAST(length(nodes[i].text_content) AS INTEGER) AS n_chars, CAST(length(nodes[i].text_xml_fragment) AS INTEGER) AS n_xml
         FROM (SELECT parse_id, nodes, unnest(range(1, len(nodes) + 1)) AS i FROM parsed_acts)""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexgrain.functions import ids, text, urn, vector
 from lexgrain.operators import citations, conflicts, deltas, lookups, upserts, vectors
-from lexgrain.plans.scale import read
+from lexgrain.plans.scale import read, shared_dir
 from lexgrain.sources import acts_xml, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,9 +85,9 @@ def acts_latest(s: SparkSession, d: str) -> DataFrame:
 # --- sources -----------------------------------------------------------------------------------------------------
 
 
-@query("SELECT url AS path, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size_bytes, collected_at AS mtime, false AS is_from_zip, 'new' AS status FROM documents WHERE text IS NOT NULL")
+@query("SELECT url AS path, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size_bytes, collected_at AS mtime, false AS is_from_zip, 'new' AS status FROM documents")
 def s02_raw_record(s: SparkSession, d: str) -> DataFrame:
-    docs = read(s, d, "documents").where("text is not null")
+    docs = read(s, d, "documents")
     found = docs.select(C("url").alias("path"), F.lit(None).cast("string").alias("derived_from"), C("text").cast("binary").alias("content"), C("collected_at").alias("modificationTime"))
     return files.raw_records(found.withColumn("path", F.coalesce("path", F.lit("")))).withColumn("path", F.nullif("path", F.lit(""))).drop("derived_from")
 
@@ -142,10 +143,10 @@ def _tag(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
 
 
-@query("""SELECT DISTINCT doc_id, canonical_doc, doc_type, act_number AS "number", act_year AS "year", nullif(title, '') AS title FROM acts WHERE doc_type IS NOT NULL AND act_number IS NOT NULL AND act_year IS NOT NULL""")
+@query("""SELECT DISTINCT doc_id, coalesce(nullif(doc_type, ''), 'altro') || ':' || coalesce(act_number, 0) || ':' || coalesce(act_year, 0) AS canonical_doc, coalesce(nullif(doc_type, ''), 'altro') AS doc_type, act_number AS "number", act_year AS "year", nullif(title, '') AS title FROM acts""")
 def x01_meta(s: SparkSession, d: str) -> DataFrame:
-    rows = read(s, d, "acts").where("doc_type is not null and act_number is not null and act_year is not null").select("doc_id", "doc_type", "act_number", "act_year", "title").distinct()
-    meta = _tag("meta", F.concat(_tag("doc_type", F.upper("doc_type")), _tag("number", C("act_number").cast("string")), _tag("year", C("act_year").cast("string")), _tag("title", escaped(C("title")))))
+    rows = read(s, d, "acts").select("doc_id", "doc_type", "act_number", "act_year", "title").distinct()
+    meta = _tag("meta", F.concat(_tag("doc_type", F.coalesce(F.upper("doc_type"), F.lit(""))), _tag("number", F.coalesce(C("act_number").cast("string"), F.lit(""))), _tag("year", F.coalesce(C("act_year").cast("string"), F.lit(""))), _tag("title", escaped(C("title")))))
     found = acts_xml.parsed(rows.select("doc_id", _act_xml(meta).alias("xml")), "doc_id", "xml")
     return found.select("doc_id", "doc.canonical_doc", "doc.doc_type", "doc.number", "doc.year", "doc.title")
 
@@ -178,6 +179,27 @@ def x05_article_tree(s: SparkSession, d: str) -> DataFrame:
     return found.select("node_id", "n.ordinal", "n.canonical_path", "n.node_type", "n.label", "n.text_hash")
 
 
+@query(f"SELECT DISTINCT doc_id, 'atto/preambolo' AS canonical_path, 'atto_preambolo' AS node_type, sha256({sql_clean('title')}) AS text_hash FROM acts WHERE title IS NOT NULL")
+def x04_preamble(s: SparkSession, d: str) -> DataFrame:
+    rows = read(s, d, "acts").where("title is not null").select("doc_id", _act_xml(_tag("preambolo", escaped(C("title")))).alias("xml")).distinct()
+    found = acts_xml.parsed(rows, "doc_id", "xml").select("doc_id", F.explode("nodes").alias("n"))
+    return found.select("doc_id", "n.canonical_path", "n.node_type", "n.text_hash").distinct()
+
+
+@query(
+    r"""SELECT DISTINCT parse_id, CAST(i - 1 AS INTEGER) AS node_pos, 'akomaNtoso/act/body/' || regexp_extract(f, '^\s*<(\w+)', 1) || coalesce(':' || nullif(regexp_extract(f, '^\s*<\w+[^>]*?\seId="([^"]*)"', 1), ''), '') AS canonical_path, CAST(3 AS INTEGER) AS "level"
+FROM (SELECT parse_id, i, nodes[i].text_xml_fragment AS f FROM (SELECT parse_id, nodes, unnest(range(1, len(nodes) + 1)) AS i FROM parsed_acts)) WHERE f IS NOT NULL AND regexp_matches(f, '^\s*<(article|paragraph|point|list|item|section|chapter|annex)[ >]') AND regexp_extract(f, '^\s*<(\w+)', 1) = regexp_extract(f, '</(\w+)>\s*$', 1)
+  AND len(regexp_extract_all(f, '<[a-zA-Z]')) = len(regexp_extract_all(f, '</'))"""
+)
+def x13_paths(s: SparkSession, d: str) -> DataFrame:
+    """Path and level of the outermost element of every whole fragment."""
+    whole = F.concat(F.lit(f'<akomaNtoso xmlns="{acts_xml.AKN_NAMESPACE}3.0"><act><body>'), C("f"), F.lit("</body></act></akomaNtoso>"))
+    keyed = fragments(s, d).distinct().select(F.to_json(F.struct("parse_id", "node_pos")).alias("k"), whole.alias("xml"))
+    parsed = acts_xml.parsed(keyed, "k", "xml", recover=False).where("parse_error is null")
+    key, top = F.from_json("k", "parse_id long, node_pos int"), F.get("nodes", F.lit(0))
+    return parsed.where(F.size("nodes") > 0).select(key["parse_id"].alias("parse_id"), key["node_pos"].alias("node_pos"), top["canonical_path"].alias("canonical_path"), top["level"].alias("level"))
+
+
 @query(
     r"""SELECT parse_id, CAST(i - 1 AS INTEGER) AS node_pos, CAST(len(regexp_extract_all(f, '<(article|paragraph|point|list|item|section|chapter|annex)[ >]')) AS INTEGER) AS n_nodes,
   CAST(len(regexp_extract_all(f, '<ref[ >]')) AS INTEGER) AS n_refs, lower(regexp_extract(f, '^\s*<(\w+)', 1)) AS root
@@ -526,6 +548,21 @@ def u07_pair_order(s: SparkSession, d: str) -> DataFrame:
     return conflicts.ordered_pair(rows, "node_id_a", "node_id_b", "v")
 
 
+@query("SELECT DISTINCT CAST(doc_id AS VARCHAR) AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'it') ")
+def s12_resume(s: SparkSession, d: str) -> DataFrame:
+    """What is left of the documents when the Italian ones are in the vector table already."""
+    docs = read(s, d, "documents").select(C("doc_id").cast("string").alias("id"), "lang")
+    return vectors.pending(docs, docs.where("lang = 'it'")).select("id").distinct()
+
+
+@query("SELECT count(*) AS n FROM acts")
+def s13_publish(s: SparkSession, d: str) -> DataFrame:
+    """Rows of a table after it was published and read again."""
+    path = f"{shared_dir(s)}/published-{uuid.uuid4().hex}"
+    files.publish(read(s, d, "acts"), path)
+    return s.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT label, max(vec_id) AS vec_id FROM embeddings GROUP BY label")
 def u08_vector_upsert(s: SparkSession, d: str) -> DataFrame:
     return upserts.latest(read(s, d, "embeddings").select("label", "vec_id"), ["label"], "vec_id")
@@ -562,21 +599,37 @@ def _places_sql(form: str, groups: int) -> str:
 
 _SNIP = sql_strip("substr(t, greatest(0, p - 200) + 1, least(length(t), p + 200) - greatest(0, p - 200))")
 _ACTS_SQL = " UNION ALL ".join(
-    f"SELECT node_id, doc_id, t, p, m, '{k}:' || g1 || ':' || g2 AS target, NULL AS article, NULL AS comma, NULL AS letter, NULL AS number, CASE WHEN regexp_matches(substr(t, greatest(0, p - 80) + 1, p + length(m) + 80 - greatest(0, p - 80)), '{ART}') THEN 0.9 ELSE 0.6 END AS confidence FROM ({_places_sql(f, 2)})"
-    for k, f in _FORMS
+    f"SELECT {i} AS kind, node_id, doc_id, t, p, m, '{k}:' || g1 || ':' || g2 AS target, NULL AS article, NULL AS comma, NULL AS letter, NULL AS number, CASE WHEN regexp_matches(substr(t, greatest(0, p - 80) + 1, p + length(m) + 80 - greatest(0, p - 80)), '{ART}') THEN 0.9 ELSE 0.6 END AS confidence FROM ({_places_sql(f, 2)})"
+    for i, (k, f) in enumerate(_FORMS)
 )
-_ARTS_SQL = f"SELECT node_id, doc_id, t, p, m, NULL AS target, nullif(g1, '') AS article, nullif(g2, '') AS comma, nullif(g3, '') AS letter, nullif(g4, '') AS number, 0.4 AS confidence FROM ({_places_sql(ART, 4)})"
+_ARTS_SQL = f"SELECT {len(_FORMS)} AS kind, node_id, doc_id, t, p, m, NULL AS target, nullif(g1, '') AS article, nullif(g2, '') AS comma, nullif(g3, '') AS letter, nullif(g4, '') AS number, 0.4 AS confidence FROM ({_places_sql(ART, 4)})"
 _REFS = f"{_TXT}, refs AS (SELECT *, {REL.format('t')} AS relation_type, {_SNIP} AS snip FROM ({_ACTS_SQL} UNION ALL {_ARTS_SQL}))"
 
 
-def _distinct_texts(s: SparkSession, d: str) -> DataFrame:
-    return nodes(s, d).where("text_content is not null").select("node_id", "doc_id", "text_content").distinct()
+def _texts(s: SparkSession, d: str) -> DataFrame:
+    """node_id, doc_id, text_content and a hash of the text.  Repeated texts of a node are told by it after the extraction, so no text is shuffled."""
+    return nodes(s, d).where("text_content is not null").select("node_id", "doc_id", "text_content", F.xxhash64("text_content").alias("text_key"))
+
+
+def _job(s: SparkSession, d: str, existing: DataFrame | None = None) -> DataFrame:
+    job = citations.extraction_job(_texts(s, d), acts_latest(s, d), existing, keep=("text_key",))
+    return job.dropDuplicates(["source_node_id", "doc_id", "text_key", "ordinal"])
+
+
+def _references(s: SparkSession, d: str) -> DataFrame:
+    return citations.extract(_texts(s, d), keep=("text_key",)).dropDuplicates(["node_id", "doc_id", "text_key", "ordinal"])
 
 
 @query(f"WITH {_REFS} SELECT node_id, p AS \"start\", m AS match_text, target AS target_canonical_doc, article AS target_article, comma AS target_comma, letter AS target_letter, number AS target_number, CAST(confidence AS DOUBLE) AS confidence, relation_type, snip AS raw_snippet FROM refs")
 def r02_references(s: SparkSession, d: str) -> DataFrame:
     """All act and article citations with places (no alias occurs in the texts)."""
-    return citations.extract(_distinct_texts(s, d)).where("method = 'regex:v1'").drop("ordinal", "method", "doc_id")
+    return _references(s, d).where("method = 'regex:v1'").drop("ordinal", "method", "doc_id", "text_key")
+
+
+@query(f"WITH {_REFS} SELECT node_id, CAST(row_number() OVER (PARTITION BY node_id, t ORDER BY kind, p) - 1 AS INTEGER) AS ordinal, p AS \"start\", m AS match_text FROM refs")
+def r04_order(s: SparkSession, d: str) -> DataFrame:
+    """Citations in their order: by kind, then by place."""
+    return _references(s, d).select("node_id", "ordinal", "start", "match_text")
 
 
 @query("SELECT doc_id, alias AS match_text, target AS target_canonical_doc FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ex TUIR ' WHEN doc_id % 3 = 1 THEN 'STATUTO DEL CONTRIBUENTE ' ELSE '' END || coalesce(text, '') AS t FROM documents), (VALUES ('TUIR', 'dpr:917:1986'), ('Statuto del contribuente', 'l:212:2000')) v(alias, target) WHERE contains(lower(t), lower(alias))")
@@ -589,8 +642,8 @@ def r01_alias(s: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_REFS} SELECT node_id, CAST(count(*) AS INTEGER) AS n, CAST(bool_and(substr(t, p + 1, length(m)) = m) AS BOOLEAN) AS placed FROM refs GROUP BY node_id, t")
 def r05_offsets(s: SparkSession, d: str) -> DataFrame:
     found = citations.found_references(C("text_content"))
-    rows = _distinct_texts(s, d).select("node_id", "text_content", found.alias("r")).where(F.size("r") > 0)
-    return rows.select("node_id", F.size("r").alias("n"), F.forall("r", lambda r: F.substring(C("text_content"), r["start"] + 1, F.length(r["match_text"])) == r["match_text"]).alias("placed"))
+    rows = _texts(s, d).select("node_id", "text_content", "text_key", found.alias("r")).where(F.size("r") > 0)
+    return rows.select("text_key", "node_id", F.size("r").alias("n"), F.forall("r", lambda r: F.substring(C("text_content"), r["start"] + 1, F.length(r["match_text"])) == r["match_text"]).alias("placed")).distinct().drop("text_key")
 
 
 _PART = lambda k: f"nullif(regexp_extract(m, '{ART}', {k}), '')"
@@ -602,25 +655,42 @@ z AS (SELECT *, CASE WHEN law IS NOT NULL THEN 'dynamic_parsing' WHEN art IS NOT
 
 @query(f"{_SOLVED} SELECT node_id AS source_node_id, m AS match_text, relation_type, coalesce(target, u) AS target_canonical_doc, u AS resolved_urn, CAST(CASE how WHEN 'dynamic_parsing' THEN 0.85 WHEN 'contextual' THEN 0.6 ELSE 0 END AS DOUBLE) AS confidence_score, how AS resolution_method, CAST(confidence AS DOUBLE) AS confidence FROM z")
 def r07_extract_job(s: SparkSession, d: str) -> DataFrame:
-    job = citations.extraction_job(_distinct_texts(s, d), acts_latest(s, d))
-    return job.select("source_node_id", "match_text", "relation_type", "target_canonical_doc", "resolved_urn", "confidence_score", "resolution_method", "confidence")
+    return _job(s, d).select("source_node_id", "match_text", "relation_type", "target_canonical_doc", "resolved_urn", "confidence_score", "resolution_method", "confidence")
+
+
+@query(f"{_SOLVED} SELECT node_id AS source_node_id, m AS match_text, relation_type, count(*) AS n FROM z WHERE NOT EXISTS (SELECT 1 FROM z h WHERE h.how = 'contextual' AND h.node_id = z.node_id AND h.m = z.m AND h.relation_type = z.relation_type) GROUP BY ALL")
+def r07_existing(s: SparkSession, d: str) -> DataFrame:
+    """A job over nodes some of whose references (the contextual ones) are held already."""
+    held = _job(s, d).where("resolution_method = 'contextual'")
+    return _job(s, d, held).groupBy("source_node_id", "match_text", "relation_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"{_SOLVED} SELECT relation_type, coalesce(target, u) AS target_canonical_doc, count(*) AS n, round(avg(CAST(confidence AS DOUBLE)), 6) AS mean_confidence FROM z GROUP BY ALL")
 def r06_targets(s: SparkSession, d: str) -> DataFrame:
     """Citations per relation type and target act."""
-    job = citations.extraction_job(_distinct_texts(s, d), acts_latest(s, d))
-    return job.groupBy("relation_type", "target_canonical_doc").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("confidence"), 6).alias("mean_confidence"))
+    return _job(s, d).groupBy("relation_type", "target_canonical_doc").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("confidence"), 6).alias("mean_confidence"))
 
 
-@query(rf"""WITH r AS (SELECT source_node_id, {sql_strip("destination_urn")} AS target, relation_type, arg_min(confidence, ref_id) AS confidence FROM (SELECT DISTINCT * FROM references_extracted) WHERE {sql_strip("coalesce(destination_urn, '')")} <> '' GROUP BY ALL),
+_RESOLVED = rf"""WITH r AS (SELECT source_node_id, {sql_strip("destination_urn")} AS target, relation_type, arg_min(confidence, ref_id) AS confidence FROM (SELECT DISTINCT * FROM references_extracted) WHERE {sql_strip("coalesce(destination_urn, '')")} <> '' GROUP BY ALL),
 q AS (SELECT *, CASE WHEN contains(target, '#') THEN trim(substr(target, instr(target, '#') + 1)) ELSE target END AS f FROM r),
 h AS (SELECT *, CASE WHEN regexp_matches(f, '^art(.+?)(?:-com(.+?))?(?:-let(.+?))?(?:-num(.+?))?$') THEN concat_ws('/', 'art:' || nullif(regexp_extract(f, '^art(.+?)(?:-com(.+?))?(?:-let(.+?))?(?:-num(.+?))?$', 1), ''), 'c:' || nullif(regexp_extract(f, '^art(.+?)(?:-com(.+?))?(?:-let(.+?))?(?:-num(.+?))?$', 2), ''), 'lett:' || nullif(regexp_extract(f, '^art(.+?)(?:-com(.+?))?(?:-let(.+?))?(?:-num(.+?))?$', 3), ''), 'num:' || nullif(regexp_extract(f, '^art(.+?)(?:-com(.+?))?(?:-let(.+?))?(?:-num(.+?))?$', 4), '')) ELSE f END AS path FROM q),
 n AS (SELECT canonical_path AS path, arg_min(node_id, (version_id, node_id)) AS target_node_id FROM nodes WHERE canonical_path IS NOT NULL GROUP BY 1)
-SELECT source_node_id, target AS target_canonical_node, relation_type, target_node_id, confidence FROM h LEFT JOIN n USING (path)""")
+SELECT source_node_id, target AS target_canonical_node, relation_type, target_node_id, confidence FROM h LEFT JOIN n USING (path)"""
+
+
+@query(_RESOLVED)
 def r08_resolve_job(s: SparkSession, d: str) -> DataFrame:
     refs = read(s, d, "references_extracted").select("ref_id", "source_node_id", F.lit(None).cast("string").alias("target_canonical_node"), C("destination_urn").alias("target_canonical_doc"), "relation_type", "confidence").distinct()
-    return citations.resolution_job(refs, nodes(s, d), normalize_fragment=True)
+    return citations.resolution_job(refs, nodes(s, d), None, normalize_fragment=True)
+
+
+@query(_RESOLVED.replace("LEFT JOIN n USING (path)", """LEFT JOIN n ON n.path = h.path AND NOT contains(target, '#')
+LEFT JOIN (SELECT urn, canonical_path AS path, arg_min(node_id, (version_id, node_id)) AS node_id FROM nodes JOIN (SELECT DISTINCT doc_id, urn FROM acts WHERE urn IS NOT NULL) USING (doc_id) GROUP BY ALL) w ON contains(target, '#') AND w.path = h.path AND w.urn = trim(split_part(target, '#', 1))""").replace("target_node_id, confidence FROM h", "coalesce(target_node_id, w.node_id) AS target_node_id, confidence FROM h"))
+def r08_scoped(s: SparkSession, d: str) -> DataFrame:
+    """Edges of the citation graph with paths sought in the act that the target names."""
+    refs = read(s, d, "references_extracted").select("ref_id", "source_node_id", F.lit(None).cast("string").alias("target_canonical_node"), C("destination_urn").alias("target_canonical_doc"), "relation_type", "confidence").distinct()
+    acts = read(s, d, "acts").where("urn is not null").select("doc_id", C("urn").alias("canonical_doc")).distinct()
+    return citations.resolution_job(refs, nodes(s, d), acts, normalize_fragment=True)
 
 
 # --- versions, search, vectors -----------------------------------------------------------------------------------
@@ -642,10 +712,14 @@ def q04_tree(s: SparkSession, d: str) -> DataFrame:
     return lookups.tree(read(s, d, "acts"), read(s, d, "document_versions"), nodes(s, d), "dlgs:4545:1997").select("node_id", "sort_key", "level")
 
 
-@query("SELECT n.node_id, n.version_id, CAST(count(r.ref_id) AS INTEGER) AS n_refs FROM (SELECT DISTINCT node_id, version_id FROM nodes) n LEFT JOIN (SELECT DISTINCT ref_id, source_node_id, destination_urn, relation_type FROM references_extracted) r ON r.source_node_id = n.node_id GROUP BY ALL")
+@query(f"""WITH e AS (SELECT DISTINCT source_node_id, {sql_strip("destination_urn")} AS target, relation_type FROM references_extracted WHERE {sql_strip("coalesce(destination_urn, '')")} <> ''),
+x AS (SELECT source_node_id, count(*) AS n FROM (SELECT DISTINCT ref_id, source_node_id, destination_urn, relation_type FROM references_extracted) GROUP BY 1), y AS (SELECT source_node_id, count(*) AS n FROM e GROUP BY 1)
+SELECT n.node_id, n.version_id, CAST(coalesce(x.n, 0) AS INTEGER) AS n_refs, CAST(coalesce(y.n, 0) AS INTEGER) AS n_resolved FROM (SELECT DISTINCT node_id, version_id FROM nodes) n LEFT JOIN x ON x.source_node_id = n.node_id LEFT JOIN y ON y.source_node_id = n.node_id""")
 def q05_node_references(s: SparkSession, d: str) -> DataFrame:
-    found = lookups.node_with_references(nodes(s, d).select("node_id", "version_id").distinct(), read(s, d, "references_extracted"))
-    return found.select("node_id", "version_id", F.coalesce(F.size("refs"), F.lit(0)).alias("n_refs"))
+    rows = nodes(s, d).select("node_id", "version_id").distinct()
+    found = lookups.node_with_references(rows, read(s, d, "references_extracted"), r08_resolve_job(s, d))
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    return found.select("node_id", "version_id", size("refs").alias("n_refs"), size("resolved").alias("n_resolved"))
 
 
 @query(f"WITH {CHAIN} SELECT n.node_id, coalesce(nullif(n.heading, ''), c.h) AS hierarchy_string FROM nodes n LEFT JOIN chain c USING (canonical_path)")
@@ -656,8 +730,9 @@ def q09_backfill(s: SparkSession, d: str) -> DataFrame:
 
 @query(r"SELECT doc_id FROM documents WHERE list_contains(regexp_split_to_array(lower(coalesce(text, '')), '[^\pL\pM\pN_]+'), 'depurazione') AND list_contains(regexp_split_to_array(lower(coalesce(text, '')), '[^\pL\pM\pN_]+'), 'sanzione')")
 def k02_fulltext(s: SparkSession, d: str) -> DataFrame:
-    index = lookups.build_index(read(s, d, "documents"), "doc_id", "text")
-    return lookups.search_index(index, "doc_id", "Sanzione depurazione")
+    path = f"{shared_dir(s)}/fts-{uuid.uuid4().hex}"
+    lookups.build_index(read(s, d, "documents"), "doc_id", "text").repartition("bucket", F.pmod("doc_id", F.lit(8))).write.partitionBy("bucket").parquet(path)
+    return lookups.search_index(s.read.schema("token string, doc_id long, bucket int").parquet(path), "doc_id", "Sanzione depurazione")
 
 
 @query("""SELECT query_id, vec_id, round(score, 6) AS score FROM (SELECT q.vec_id AS query_id, r.vec_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) AS score FROM embeddings q JOIN embeddings r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id)

@@ -107,9 +107,18 @@ def test_extraction_job_twice_inserts_nothing(spark):
 def test_resolution_job(spark):
     refs = spark.createDataFrame([(2, "n", None, "l:1:1#art:5", "CITES", 0.9), (1, "n", " l:1:1#art:5 ", "x", "CITES", 0.4), (3, "n", None, " ", "CITES", 0.4), (4, "m", None, "art:5", "CITES", 0.6)], "ref_id long, source_node_id string, target_canonical_node string, target_canonical_doc string, relation_type string, confidence double")
     nodes = spark.createDataFrame([("z", 1, "art:5"), ("a", 2, "art:5"), ("q", 1, None)], "node_id string, version_id long, canonical_path string")
-    got = {tuple(r) for r in citations.resolution_job(refs, nodes).collect()}
+    got = {tuple(r) for r in citations.resolution_job(refs, nodes, None).collect()}
     assert got == {("n", "l:1:1#art:5", "CITES", "z", 0.4), ("m", "art:5", "CITES", "z", 0.6)}
     owned = nodes.selectExpr("if(node_id = 'a', 'd1', 'd2') as doc_id", "*")
     acts = spark.createDataFrame([("d1", "l:1:1"), ("d2", "l:2:2")], "doc_id string, canonical_doc string")
-    scoped = {tuple(r) for r in citations.resolution_job(refs, owned, acts=acts).collect()}
+    scoped = {tuple(r) for r in citations.resolution_job(refs, owned, acts).collect()}
     assert scoped == {("n", "l:1:1#art:5", "CITES", "a", 0.4), ("m", "art:5", "CITES", "z", 0.6)}
+
+
+def test_patterns_can_be_given(spark):
+    own = citations.Patterns(aliases={"Carta dei mercati": "carta:1:2001"}, acts=(("reg", r"(?i)reg\\.\\s*(\\d+)/(\\d{4})"),), relations=(("AMENDS", "ritoccato da"), ("CITES", "visto")))
+    nodes = spark.createDataFrame([("n", "d", "La Carta dei mercati, ritoccato da reg. 7/2009 e legge 1/2000", "x")], "node_id string, doc_id string, text_content string, extra string")
+    got = [(r["target_canonical_doc"], r["relation_type"], r["extra"]) for r in citations.extract(nodes, patterns=own, keep=("extra",)).collect()]
+    assert got == [("carta:1:2001", "AMENDS", "x"), ("reg:7:2009", "AMENDS", "x")]
+    plain = [r["target_canonical_doc"] for r in citations.extract(nodes).collect()]
+    assert plain == ["l:1:2000"]

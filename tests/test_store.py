@@ -46,7 +46,7 @@ def test_upserts(spark):
 ACTS = "doc_id string, canonical_doc string, doc_type string, act_number int, act_year int, title string, publication_date date, updated_at int"
 
 
-def test_lookups(spark):
+def test_lookups(spark, tmp_path):
     acts = spark.createDataFrame([("d", "l:1:2000", "l", 1, 2000, " Uno_a ", None, 1), ("d", "l:1:2000", "l", 1, 2000, "x", None, 2), ("e", "l:2:2000", "l", 2, 2000, None, None, 1)], ACTS)
     versions = spark.createDataFrame([("d", 1, "v1", None, None), ("d", 2, "v2", None, None), ("d", 2, "v2", None, None)], "doc_id string, version_id long, version_tag string, valid_from date, valid_to date")
     nodes = spark.createDataFrame([("n1", "d", 1, "art:1", "T", "articolo"), ("n2", "d", 2, "art:10", None, "articolo"), ("n3", "d", 2, "art:1/c:2", "Ente gestore", "comma"), ("n4", "zz", 3, "x", "", "comma")], "node_id string, doc_id string, version_id long, canonical_path string, text_content string, node_type string")
@@ -58,7 +58,9 @@ def test_lookups(spark):
     export = {r["id"]: r for r in lookups.export_rows(nodes, acts).collect()}
     assert export["n1"]["source"] == "l:1:2000" and export["n4"]["source"] == "Documento Sconosciuto" and export["n4"]["source_id"] == ""
     assert {tuple(r) for r in lookups.quality(nodes).collect()} == {("articolo", 2, 1), ("comma", 2, 1)} and lookups.quality(nodes, limit=1).count() == 1
-    index = lookups.build_index(nodes, "node_id", "text_content")
+    lookups.build_index(nodes, "node_id", "text_content").write.partitionBy("bucket").mode("overwrite").parquet(str(tmp_path / "fts"))
+    index = spark.read.schema("token string, node_id string, bucket int").parquet(str(tmp_path / "fts"))
+    assert lookups.search_index(index, "node_id", " ?! ").count() == 0 and "PartitionFilters: [isnotnull(bucket" in lookups.search_index(index, "node_id", "ente")._jdf.queryExecution().executedPlan().toString()
     assert [r[0] for r in lookups.search_index(index, "node_id", "GESTORE ente ente").collect()] == ["n3"] and lookups.search_index(index, "node_id", "ente t").count() == 0
     assert lookups.search_like(nodes, "text_content", "e_te").count() == 1
     assert lookups.preview(nodes, acts, 5).count() == 0
