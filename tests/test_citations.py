@@ -116,7 +116,7 @@ def test_resolution_job(spark):
 
 
 def test_patterns_can_be_given(spark):
-    own = citations.Patterns(aliases={"Carta dei mercati": "carta:1:2001"}, acts=(("reg", r"(?i)reg\\.\\s*(\\d+)/(\\d{4})"),), relations=(("AMENDS", "ritoccato da"), ("CITES", "visto")))
+    own = citations.Patterns(aliases={"Carta dei mercati": "carta:1:2001"}, acts=(("reg", r"(?i)reg\.\s*(\d+)/(\d{4})"),), relations=(("AMENDS", "ritoccato da"), ("CITES", "visto")))
     nodes = spark.createDataFrame([("n", "d", "La Carta dei mercati, ritoccato da reg. 7/2009 e legge 1/2000", "x")], "node_id string, doc_id string, text_content string, extra string")
     got = [(r["target_canonical_doc"], r["relation_type"], r["extra"]) for r in citations.extract(nodes, patterns=own, keep=("extra",)).collect()]
     assert got == [("carta:1:2001", "AMENDS", "x"), ("reg:7:2009", "AMENDS", "x")]
