@@ -79,26 +79,22 @@ def tokens(c: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"(?U)\W+"), lambda t: t != ""))
 
 
-#: Folders of a stored full-text index.
-BUCKETS = 64
+def build_index(rows: DataFrame, key: str, text_col: str) -> DataFrame:
+    """Token table of a full-text index: token, key, in order of the tokens.
 
+    Written as it is, every file and row group holds a range of tokens, so a search reads few of them.  The ranges are
+    cut by token and key, so a word that all texts have is spread over many.
+    """
+    listed = rows.select(F.explode(tokens(F.col(text_col))).alias("token"), key).distinct()
+    return listed.repartitionByRange("token", key).sortWithinPartitions("token", key)
 
-def _bucket(token: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
 
-
-def build_index(rows: DataFrame, key: str, text_col: str, buckets: int = BUCKETS) -> DataFrame:
-    """Token table of a full-text index: token, key, bucket.  Written with partitionBy("bucket"), a search reads few folders of it."""
-    return rows.select(F.explode(tokens(F.col(text_col))).alias("token"), key).distinct().withColumn("bucket", _bucket(F.col("token"), buckets))
-
-
-def search_index(index: DataFrame, key: str, q: str, buckets: int = BUCKETS) -> DataFrame:
-    """Keys whose text has all words of q; no word, no key.  Only the folders of these words are read."""
+def search_index(index: DataFrame, key: str, q: str) -> DataFrame:
+    """Keys whose text has all words of q; no word, no key.  The words are sought by the scan."""
     wanted = sorted(set(re.findall(r"\w+", q.lower())))
     if not wanted:
         return index.select(key).limit(0)
-    folders = [r[0] for r in index.sparkSession.createDataFrame([(w,) for w in wanted], "w string").select(_bucket(F.col("w"), buckets)).collect()]
-    hits = index.where(F.col("bucket").isin(folders) & F.col("token").isin(wanted)).groupBy(key).agg(F.count_distinct("token").alias("n"))
+    hits = index.where(F.col("token").isin(wanted)).groupBy(key).agg(F.count_distinct("token").alias("n"))
     return hits.where(F.col("n") == len(wanted)).select(key)
 
 

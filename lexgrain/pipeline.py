@@ -16,7 +16,7 @@ from lexgrain.operators.incremental import Store
 from lexgrain.sources import acts_xml, files
 
 #: Tables that are no part of the relational schema.
-OTHERS = {"raw_content": "sha256 string, content binary", "fts": "token string, node_id string, bucket int"}
+OTHERS = {"raw_content": "sha256 string, content binary", "fts": "token string, node_id string"}
 #: Generations that are kept; older ones are deleted after a write.
 KEPT = 2
 
@@ -36,14 +36,14 @@ class Tables:
             return self.spark.createDataFrame([], schemas.schema(name)) if name in schemas.TABLES else self.spark.createDataFrame([], OTHERS[name])
         return self.spark.read.parquet(f"{self._store.root}/{name}/{found[-1]}")
 
-    def write(self, name: str, rows: DataFrame, *partitions: str) -> int:
-        """A new generation, partitioned by the given columns; returns its number of rows."""
+    def write(self, name: str, rows: DataFrame) -> int:
+        """A new generation; returns its number of rows."""
         if name in schemas.TABLES:
             fields = [f.strip().split(" ") for f in schemas.schema(name).split(",")]
             rows = rows.select(*[F.col(n).cast(t).alias(n) if n in rows.columns else F.lit(None).cast(t).alias(n) for n, t in fields])
         names = self._store.names(name)
         fresh = f"g{int(names[-1][1:]) + 1 if names else 0:08d}"
-        rows.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self._store.root}/{name}/{fresh}")
+        rows.write.mode("overwrite").parquet(f"{self._store.root}/{name}/{fresh}")
         for old in self._generations(name)[:-KEPT]:
             self._store.delete(f"{name}/{old}")
         return self.read(name).count()
@@ -145,7 +145,7 @@ def build_deltas(t: Tables) -> int:
 
 def build_fts(t: Tables) -> int:
     """Write the full-text index of the nodes; returns its number of entries."""
-    return t.write("fts", lookups.build_index(t.read("nodes"), "node_id", "text_content"), "bucket")
+    return t.write("fts", lookups.build_index(t.read("nodes"), "node_id", "text_content"))
 
 
 def search(t: Tables, q: str) -> DataFrame:

@@ -731,8 +731,8 @@ def q09_backfill(s: SparkSession, d: str) -> DataFrame:
 @query(r"SELECT doc_id FROM documents WHERE list_contains(regexp_split_to_array(lower(coalesce(text, '')), '[^\pL\pM\pN_]+'), 'depurazione') AND list_contains(regexp_split_to_array(lower(coalesce(text, '')), '[^\pL\pM\pN_]+'), 'sanzione')")
 def k02_fulltext(s: SparkSession, d: str) -> DataFrame:
     path = f"{shared_dir(s)}/fts-{uuid.uuid4().hex}"
-    lookups.build_index(read(s, d, "documents"), "doc_id", "text").repartition("bucket", F.pmod("doc_id", F.lit(8))).write.partitionBy("bucket").parquet(path)
-    return lookups.search_index(s.read.schema("token string, doc_id long, bucket int").parquet(path), "doc_id", "Sanzione depurazione")
+    lookups.build_index(read(s, d, "documents"), "doc_id", "text").write.parquet(path)
+    return lookups.search_index(s.read.schema("token string, doc_id long").parquet(path), "doc_id", "Sanzione depurazione")
 
 
 @query("""SELECT query_id, vec_id, round(score, 6) AS score FROM (SELECT q.vec_id AS query_id, r.vec_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) AS score FROM embeddings q JOIN embeddings r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id)

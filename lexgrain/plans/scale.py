@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.02
 #: Below so many rows a key is never worth salting: one task sorts them at once.
 HOT_LEAST = 200_000
+#: Splits of fewer bytes are taken for parts of a row group.
+SPLIT_BYTES = 2**20
 #: Parts into which a hot key is split.
 SALTS = 32
 
@@ -70,12 +72,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """The rows over all cores, for work that costs far more than moving them.
 
-    An input with fewer splits than there are cores would leave cores idle, so it is shuffled by a hash of keys that
-    are distinct or nearly so; one with splits enough, as any large table is, is left where it lies.  The rows are the
-    same either way.
+    An input with fewer splits than there are cores, or so small that its splits are parts of a few row groups and mostly
+    empty, would leave cores idle, so it is shuffled by a hash of keys that are distinct or nearly so; any other one is
+    left where it lies.  The rows are the same either way; no job runs to find out.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+    bytes_ = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if bytes_ >= cores * SPLIT_BYTES and df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
         return df
     return df.repartition(cores * 2, F.xxhash64(*keys))
 
