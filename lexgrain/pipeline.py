@@ -22,31 +22,44 @@ KEPT = 2
 
 
 class Tables:
-    """Parquet tables below a folder, each in generations."""
+    """Parquet tables below a folder, each in generations: whole ones (g...) and rows added to the last one (a...)."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self._store = spark, Store(spark, root)
 
     def _generations(self, name: str) -> list[str]:
-        return [g for g in self._store.names(name) if self._store.exists(f"{name}/{g}/_SUCCESS")]
+        """Complete generations in order."""
+        return sorted((g for g in self._store.names(name) if self._store.exists(f"{name}/{g}/_SUCCESS")), key=lambda g: int(g[1:]))
 
     def read(self, name: str) -> DataFrame:
+        """The last whole generation and what was added to it."""
         found = self._generations(name)
+        wholes = [k for k, g in enumerate(found) if g.startswith("g")]
         if not found:
             return self.spark.createDataFrame([], schemas.schema(name)) if name in schemas.TABLES else self.spark.createDataFrame([], OTHERS[name])
-        return self.spark.read.parquet(f"{self._store.root}/{name}/{found[-1]}")
+        return self.spark.read.parquet(*[f"{self._store.root}/{name}/{g}" for g in found[wholes[-1] if wholes else 0 :]])
 
-    def write(self, name: str, rows: DataFrame) -> int:
-        """A new generation; returns its number of rows."""
+    def _written(self, name: str, rows: DataFrame, kind: str) -> DataFrame:
         if name in schemas.TABLES:
             fields = [f.strip().split(" ") for f in schemas.schema(name).split(",")]
             rows = rows.select(*[F.col(n).cast(t).alias(n) if n in rows.columns else F.lit(None).cast(t).alias(n) for n, t in fields])
-        names = self._store.names(name)
-        fresh = f"g{int(names[-1][1:]) + 1 if names else 0:08d}"
-        rows.write.mode("overwrite").parquet(f"{self._store.root}/{name}/{fresh}")
-        for old in self._generations(name)[:-KEPT]:
+        number = max((int(n[1:]) for n in self._store.names(name)), default=-1) + 1
+        path = f"{self._store.root}/{name}/{kind}{number:08d}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def write(self, name: str, rows: DataFrame) -> int:
+        """A new whole generation; returns its number of rows."""
+        made = self._written(name, rows, "g").count()
+        found = self._generations(name)
+        wholes = [k for k, g in enumerate(found) if g.startswith("g")]
+        for old in found[: wholes[-KEPT]] if len(wholes) > KEPT else []:
             self._store.delete(f"{name}/{old}")
-        return self.read(name).count()
+        return made
+
+    def append(self, name: str, rows: DataFrame) -> int:
+        """Add rows without writing the others again; returns how many."""
+        return self._written(name, rows, "a").count()
 
     def reset(self) -> None:
         """Empty all tables but the record of runs."""
@@ -70,10 +83,10 @@ def ingest(t: Tables, directory: str) -> DataFrame:
     first = _next(held, "raw_id")
     named = upserts.numbered(fresh, "raw_id", "path").withColumn("raw_id", F.col("raw_id") + first - 1)
     content = found.select("sha256", "content").join(t.read("raw_content").select("sha256"), "sha256", "left_anti")
-    t.write("raw_content", t.read("raw_content").unionByName(upserts.earliest(content, ["sha256"], "content")))
-    t.write("raw_files", held.unionByName(named.withColumn("error_text", F.lit(None).cast("string")).select(*held.columns)))
+    t.append("raw_content", upserts.earliest(content, ["sha256"], "content"))
+    t.append("raw_files", named.withColumn("error_text", F.lit(None).cast("string")).select(*held.columns))
     stats = files.run_stats(records).select(F.lit(number).cast("long").alias("run_id"), F.lit(started).alias("started_at"), F.current_timestamp().alias("finished_at"), F.lit("finished").alias("status"), F.lit(directory).alias("input_dir"), "files", "xml", "zip")
-    t.write("ingestion_runs", runs.unionByName(stats.select(*runs.columns)))
+    t.append("ingestion_runs", stats.select(*runs.columns))
     return t.read("ingestion_runs").where(F.col("run_id") == number)
 
 
@@ -107,6 +120,10 @@ def parse(t: Tables, retry_errors: bool = False) -> dict[str, int]:
     first_of_path = upserts.earliest(nodes.select("version_id", "canonical_path", "ordinal", *[c for c in held_nodes.columns if c not in ("version_id", "canonical_path", "ordinal")]), ["version_id", "canonical_path"], "ordinal")
     kept = held_nodes.join(fresh.select("version_id").distinct(), "version_id", "left_anti")
     out = {"nodes": t.write("nodes", kept.unionByName(first_of_path.select(*held_nodes.columns)))}
+    gone = held_nodes.join(fresh.select("version_id").distinct(), "version_id", "left_semi").select("node_id").join(t.read("nodes").select("node_id"), "node_id", "left_anti").distinct()
+    references = t.read("references_extracted")
+    if not references.join(gone.withColumnRenamed("node_id", "source_node_id"), "source_node_id", "left_semi").isEmpty():
+        t.write("references_extracted", references.join(gone.withColumnRenamed("node_id", "source_node_id"), "source_node_id", "left_anti").select(*references.columns))
     out["document_versions"] = t.write("document_versions", upserts.upsert(held_versions, fresh.select(*held_versions.columns), key, [], "source_raw_id"))
     out["documents"] = t.write("documents", upserts.upsert(held_docs, docs.select(*held_docs.columns), ["doc_id"], ["created_at"], "last_seen_raw_id"))
     state = listed.select("raw_id", F.when(F.col("parse_error").isNull(), "parsed").otherwise("error").alias("_s"), F.col("parse_error").alias("_e"))
@@ -122,9 +139,8 @@ def extract_references(t: Tables) -> int:
     held = t.read("references_extracted")
     job = citations.extraction_job(t.read("nodes").select("node_id", "doc_id", "text_content"), t.read("documents"), held).persist()
     named = upserts.numbered(job, "ref_id", "source_node_id", "ordinal").withColumn("ref_id", F.col("ref_id") + _next(held, "ref_id") - 1)
-    before = held.count()
-    t.write("urn_resolution_log", t.read("urn_resolution_log").unionByName(citations.resolution_log(job)))
-    added = t.write("references_extracted", held.unionByName(named.select(*held.columns))) - before
+    t.append("urn_resolution_log", citations.resolution_log(job))
+    added = t.append("references_extracted", named.select(*held.columns))
     job.unpersist()
     return added
 
@@ -135,7 +151,8 @@ def resolve_references(t: Tables) -> int:
 
 def detect_conflicts(t: Tables) -> int:
     held = t.read("conflict_events")
-    return t.write("conflict_events", held.unionByName(conflicts.new_events(conflicts.conflict_pairs(t.read("nodes")), held).select(*held.columns)))
+    before = held.count()
+    return before + t.append("conflict_events", conflicts.new_events(conflicts.conflict_pairs(t.read("nodes")), held).select(*held.columns))
 
 
 def build_deltas(t: Tables) -> int:

@@ -34,7 +34,14 @@ def test_pipeline_is_idempotent(spark, tmp_path, capsys):
     assert main([*tables, "export-rag", "--output", str(tmp_path / "out")], spark) == 0
     lines = [json.loads(x) for f in (tmp_path / "out").glob("part-*") for x in f.read_text().splitlines()]
     assert len(lines) == 20 and {"Regolamento dei mercati", "legge:231:2001"} == {x["source"] for x in lines}
-    for verb in (["stats"], ["search", "base"], ["tree", "reg:12:2009"], ["backfill-hierarchy"], ["reset"]):
+    assert [g[0] for g in t._generations("raw_content")] == ["a", "a"] and t.read("raw_content").count() == 4
+    cited = t.read("references_extracted").count()
+    (src / "a3.xml").write_text(SIMPLE.replace("t3", "t4").replace('<numero id="4">per litro.</numero>', ""))  # the version again, without the node that cites
+    pipeline.ingest(t, str(src))
+    pipeline.parse(t)
+    assert t.read("nodes").count() == 19 and t.read("references_extracted").join(t.read("nodes").selectExpr("node_id source_node_id"), "source_node_id", "left_anti").count() == 0
+    assert 0 < cited - t.read("references_extracted").count()
+    for verb in (["build-fts"], ["search-like", "x"], ["stats"], ["search", "base"], ["tree", "reg:12:2009"], ["backfill-hierarchy"], ["reset"]):
         assert main([*tables, *verb], spark) == 0
     assert t.read("nodes").count() == 0 and "articolo" in capsys.readouterr().out
 
