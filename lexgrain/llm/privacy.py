@@ -288,8 +288,8 @@ class Buffer:
     def _cued(self, word: int, a: int) -> bool:
         """Whether the words before the given one show that a person's name follows at `a`."""
         k = word - 1
-        if k < 0 or a - self.end[k] > 4 or "\0" in self.text[self.end[k] : a]:
-            return False
+        if k < 0 or a - self.end[k] > 4 or self.text[self.end[k] : a].strip(": \t\n\r\xa0"):
+            return False  # a full stop ends what the word before could show
         if k in self.found["before"]:
             return True
         return k in self.found["link"] and k - 1 in self.found["before_link"] and self.first[k] - self.end[k - 1] <= 2

@@ -27,6 +27,8 @@ CASES = [
     ("firmato dal dott. Rossi M. e altri; Allegato A. e Sezione B. e", [("name", "Rossi M.")]),
     ("C.F. MVG MPS 35P52 Y808S; R. Neri; il Tribunale Civile, residente", [("id_number", "MVG MPS 35P52 Y808S"), ("name", "R. Neri")]),
     ("x" * 400 + "@" + "y.test e /a@b.test e .a@b.test e a.@b.test", [("email", "x" * 400 + "@y.test")]),
+    ("a carico del richiedente. Guida Speleologica Alpina; il Tribunale. Mercati Generali, residente", [("name", "Mercati Generali")]),
+    ("Il dott. Duilio Questastri e la sig.ra Ada Questastri", [("name", "Duilio Questastri"), ("name", "Ada Questastri")]),
     ("Egidio Fezzuschi\0Noemi Neri", [("name", "Egidio Fezzuschi"), ("name", "Noemi Neri")]),
     (None, []), ("", []), ("   ", []),
 ]
