@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexgrain.llm import contamination as con
 
@@ -124,5 +125,30 @@ def test_similarity_of_shingles():
     assert con.similarity(a, a) == 1.0 and con.similarity(a, a.replace("p10", "q10")) == 7 / 9 and con.similarity(a, "x") == 0.0
 
 
+def test_placed_similarity_is_one_for_equal_words_only():
+    rng = random.Random(8)
+    some = lambda: " ".join(rng.choice("ab") for _ in range(7))
+    pairs = [(some(), some()) for _ in range(3000)]
+    assert any(a == b for a, b in pairs) and any(a != b and con.similarity(a, b, 2) == 1.0 for a, b in pairs)
+    assert all((con.similarity(a, b, 2, placed=True) == 1.0) == (a == b) for a, b in pairs)
+    a = " ".join(f"p{k}" for k in range(10, 22))
+    assert con.similarity(a, a.replace("p10", "q10"), placed=True) == 7 / 9
+
+
+def test_the_verification_decides_on_candidates(spark, monkeypatch):
+    """Near windows reach the verification, and nothing but it drops those that are not equal."""
+    ws = [f"voce{k}" for k in range(12)]
+    cycle = [f"giro{k % 8}" for k in range(13)]  # its two windows have the same shingles and fingerprint
+    docs = [(1, " ".join(ws), "y"), (2, " ".join([*ws[:11], "altra"]), "y"), (3, " ".join(cycle[1:]), "y"), (4, "x " * 30, "y")]
+    items = [(8, " ".join(ws), "x"), (9, " ".join(cycle[:12]), "x")]
+    d, i = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    prints = [con.fingerprints(con.Words([t]).hashes, con.WINDOW, con.SHINGLE)[0] for t in (docs[0][1], docs[1][1], docs[2][1], items[1][1])]
+    assert 1 < np.bitwise_count(prints[0] ^ prints[1]) <= 20 and prints[2] == prints[3]
+    found = lambda: {tuple(r) for r in con.leaks(d, i, radius=20).collect()}
+    assert found() == brute(docs, items) == {(1, 8)}
+    monkeypatch.setattr(con, "_similarity", lambda *_: lambda a, b: F.lit(1.0))
+    assert found() >= {(1, 8), (2, 8), (3, 9)}
+
+
 def test_words():
     assert con.words("L’Àrt. 5-bis del\nd.lgs.") == ["l", "art", "5", "bis", "del", "d", "lgs"]
